@@ -200,7 +200,191 @@ def mart_queries() -> dict[str, str]:
     }
 
 
+EVAL = f"""
+scored AS (
+  SELECT user_id, product_id, order_id, reordered AS label, up_reord_cnt / up_cnt AS score,
+         CAST(up_reord_cnt / up_cnt > {THRESHOLD} AS DOUBLE) AS prediction
+  FROM train_set
+),
+cm AS (
+  SELECT CAST(sum(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+         CAST(sum(CASE WHEN label <> 1 AND prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+         CAST(sum(CASE WHEN label = 1 AND prediction <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+         CAST(sum(CASE WHEN label <> 1 AND prediction <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS tn
+  FROM scored
+),
+metrics AS (
+  SELECT tp, fp, fn, tn, tp / nullif(tp + fp, 0) AS precision, tp / nullif(tp + fn, 0) AS recall,
+         (2 * tp) / nullif(2 * tp + fp + fn, 0) AS f1, (tp + tn) / nullif(tp + fp + fn + tn, 0) AS accuracy
+  FROM cm
+),
+sc AS (
+  SELECT score AS threshold,
+         CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos,
+         CAST(sum(CASE WHEN label <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS neg
+  FROM scored GROUP BY score
+),
+cum AS (
+  SELECT threshold, pos, neg,
+         row_number() OVER (ORDER BY threshold DESC) AS rank,
+         CAST(sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS tp,
+         CAST(sum(neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS fp,
+         CAST(sum(pos) OVER () AS BIGINT) AS tp_total,
+         CAST(sum(neg) OVER () AS BIGINT) AS fp_total
+  FROM sc
+),
+roc AS (
+  SELECT threshold, fp / nullif(fp_total, 0) AS fpr, tp / nullif(tp_total, 0) AS tpr, rank FROM cum
+),
+auc AS (
+  SELECT CAST(sum(CAST(neg AS HUGEINT) * (2 * tp - pos)) AS DOUBLE)
+         / nullif(CAST(2 AS DOUBLE) * CAST(max(tp_total) AS DOUBLE) * CAST(max(fp_total) AS DOUBLE), 0) AS auc
+  FROM cum
+),
+wm_label AS (SELECT label AS cls, count(*) AS n_true FROM scored GROUP BY label),
+wm_pred AS (SELECT prediction AS cls, count(*) AS n_pred FROM scored GROUP BY prediction),
+wm_hit AS (SELECT label AS cls, count(*) AS n_hit FROM scored WHERE label = prediction GROUP BY label),
+wm_per AS (
+  SELECT a.cls, a.n_true, coalesce(h.n_hit / nullif(b.n_pred, 0), 0.0) AS p,
+         coalesce(h.n_hit / nullif(a.n_true, 0), 0.0) AS r
+  FROM wm_label a LEFT JOIN wm_pred b ON a.cls = b.cls LEFT JOIN wm_hit h ON a.cls = h.cls
+),
+wm AS (
+  SELECT sum(n_true * p) / sum(n_true) AS weighted_precision, sum(n_true * r) / sum(n_true) AS weighted_recall,
+         sum(n_true * CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END) / sum(n_true) AS weighted_f1
+  FROM wm_per
+),
+tscored AS (
+  SELECT user_id, product_id, order_id, up_reord_cnt / up_cnt AS "1_proba",
+         CAST(up_reord_cnt / up_cnt > {THRESHOLD} AS INTEGER) AS reordered
+  FROM test_set
+),
+sub AS (
+  SELECT order_id,
+         coalesce(string_agg(CASE WHEN reordered = 1 THEN CAST(product_id AS VARCHAR) END, ' ' ORDER BY product_id),
+                  'None') AS products
+  FROM tscored GROUP BY order_id
+)
+"""
+
+_SLOT = "(((((user_id % 1000003) + 1000003) % 1000003) * 7919 + (((product_id % 1000003) + 1000003) % 1000003) * 104729 + 2021) % 1000)"
+
+_DESCRIBE = ["up_cnt", "usr_total_cnt", "prd_total_cnt", "days_since_prior_order", "reordered"]
+
+
+def _describe_sql() -> str:
+    def row(name: str, fn: str) -> str:
+        cols = ", ".join(f"CAST({fn.format(c=c)} AS DOUBLE) AS {c}" for c in _DESCRIBE)
+        return f"SELECT '{name}' AS summary, {cols} FROM train_set"
+
+    parts = [
+        row("count", "count({c})"),
+        row("mean", "avg({c})"),
+        row("stddev", "stddev_samp({c})"),
+        row("min", "min({c})"),
+        row("max", "max({c})"),
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
+def with_eval(final: str) -> str:
+    return f"WITH {BASKET},{MARTS},{EVAL}\n{final}"
+
+
+def audit_queries() -> dict[str, str]:
+    null_cols = [*ID_COLUMNS, *MODEL_FEATURES, "reordered"]
+    nulls = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in null_cols)
+    return {
+        "null_counts": with_ctes(f"SELECT {nulls} FROM train_data"),
+        "row_counts": with_ctes(
+            "SELECT 'data_mart' AS table_name, count(*) AS row_count FROM data_mart UNION ALL "
+            "SELECT 'user_mart', count(*) FROM user_mart UNION ALL "
+            "SELECT 'prd_mart', count(*) FROM prd_mart UNION ALL "
+            "SELECT 'up_mart', count(*) FROM up_mart"
+        ),
+        "duplicate_keys": with_ctes(
+            "SELECT user_id, product_id, count(*) AS cnt FROM train_lines GROUP BY user_id, product_id "
+            "HAVING count(*) > 1"
+        ),
+        "unmatched": with_ctes(
+            "SELECT a.* FROM up_mart a LEFT JOIN user_mart b ON a.user_id = b.user_id "
+            "LEFT JOIN prd_mart c ON a.product_id = c.product_id WHERE b.user_id IS NULL OR c.product_id IS NULL"
+        ),
+        "label_coverage": with_ctes(
+            "SELECT 'pair_count' AS gubun, count(*) AS cnt FROM train_lines a LEFT JOIN data_mart b "
+            "ON a.user_id = b.user_id AND a.product_id = b.product_id WHERE b.product_id IS NULL UNION ALL "
+            "SELECT 'only_user_id_count', count(*) FROM train_lines a LEFT JOIN "
+            "(SELECT user_id FROM data_mart GROUP BY user_id) b ON a.user_id = b.user_id WHERE b.user_id IS NULL "
+            "UNION ALL SELECT 'only_product_id_count', count(*) FROM train_lines a LEFT JOIN "
+            "(SELECT product_id FROM data_mart GROUP BY product_id) b ON a.product_id = b.product_id "
+            "WHERE b.product_id IS NULL"
+        ),
+        "unmatched_label_dist": with_ctes(
+            "SELECT a.reordered, count(*) AS cnt FROM train_lines a LEFT JOIN data_mart b "
+            "ON a.user_id = b.user_id AND a.product_id = b.product_id WHERE b.product_id IS NULL GROUP BY a.reordered"
+        ),
+        "unlabelled_counts": with_ctes(
+            "SELECT 'train_data' AS gubun, count(*) AS cnt FROM train_data UNION ALL "
+            "SELECT 'reordered null', count(*) FROM train_data WHERE reordered IS NULL"
+        ),
+        "undefined_ratios": with_ctes(
+            "SELECT user_id, product_id, up_reord_cnt, usr_reord_cnt FROM up_mart WHERE up_usr_reord_ratio IS NULL"
+        ),
+        "describe_features": with_ctes(_describe_sql()),
+    }
+
+
+def result_queries() -> dict[str, str]:
+    return {
+        "threshold_labels": with_eval("SELECT * FROM tscored"),
+        "order_counts": with_eval(
+            "SELECT order_id, count(*) AS total_cnt_by_order_id, CAST(sum(reordered) AS BIGINT) AS reordered_cnt "
+            "FROM tscored GROUP BY order_id"
+        ),
+        "submission": with_eval("SELECT * FROM sub"),
+        "submission_coverage": with_eval(
+            "SELECT 'missing_rows' AS gubun, count(*) AS cnt FROM tscored a "
+            "WHERE NOT EXISTS (SELECT 1 FROM sub b WHERE b.order_id = a.order_id) UNION ALL "
+            "SELECT 'submission_orders', count(*) FROM sub UNION ALL "
+            "SELECT 'test_orders', count(*) FROM b_orders WHERE eval_set = 'test'"
+        ),
+    }
+
+
+def evaluation_queries() -> dict[str, str]:
+    report = " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM metrics"
+        for m in ["tn", "fp", "fn", "tp", "accuracy", "precision", "recall", "f1"]
+    )
+    return {
+        "confusion": with_eval("SELECT label, prediction, count(*) AS cnt FROM scored GROUP BY label, prediction"),
+        "binary_metrics": with_eval("SELECT * FROM metrics"),
+        "roc_curve": with_eval("SELECT * FROM roc"),
+        "pr_curve": with_eval(
+            "SELECT threshold, tp / nullif(tp + fp, 0) AS precision, tp / nullif(tp_total, 0) AS recall, rank FROM cum"
+        ),
+        "auc_exact": with_eval("SELECT * FROM auc"),
+        "evaluate_report": with_eval(f"{report} UNION ALL SELECT 'auc', auc FROM auc"),
+        "curve_sample": with_eval("SELECT * FROM roc WHERE (rank - 1) % 2 = 0"),
+        "weighted_metrics": with_eval("SELECT * FROM wm"),
+    }
+
+
+def split_queries() -> dict[str, str]:
+    return {
+        "key_split": with_ctes(
+            f"SELECT CASE WHEN {_SLOT} < 800 THEN 0 ELSE 1 END AS split, count(*) AS cnt, "
+            "CAST(sum(reordered) AS BIGINT) AS positives FROM train_set GROUP BY 1"
+        ),
+        "validation_flag": with_ctes(f"SELECT user_id, product_id, {_SLOT} < 200 AS isVal FROM train_set"),
+    }
+
+
 def all_queries() -> dict[str, str]:
     out = {}
     out.update(mart_queries())
+    out.update(audit_queries())
+    out.update(result_queries())
+    out.update(evaluation_queries())
+    out.update(split_queries())
     return out

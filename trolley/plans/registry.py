@@ -5,7 +5,12 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from trolley.functions.scalar import ID_COLUMNS, REORDER_THRESHOLD, above, ratio
+from trolley.operators import audits, evaluate, results, splits
 
 from trolley.plans.chain import MartChain
 from trolley.sources.basket import load_basket
@@ -50,7 +55,110 @@ def mart_queries() -> dict[str, Query]:
     }
 
 
+def heuristic_score():
+    """Deterministic stand-in for a model score: the user's reorder share of the product."""
+    return ratio("up_reord_cnt", "up_cnt")
+
+
+def scored_train(c: MartChain) -> DataFrame:
+    """Train rows with label, heuristic score and the thresholded prediction (double, as ML writes it)."""
+    s = heuristic_score()
+    return c.train_set.select(
+        *ID_COLUMNS,
+        F.col("reordered").alias("label"),
+        s.alias("score"),
+        above(s, REORDER_THRESHOLD, "double").alias("prediction"),
+    )
+
+
+def scored_test(c: MartChain) -> DataFrame:
+    """Test rows with a probability vector [1 - s, s], class-1 probability and the thresholded label."""
+    s = heuristic_score()
+    vec = c.test_set.select(*ID_COLUMNS, array_to_vector(F.array(F.lit(1.0) - s, s)).alias("probability"))
+    return results.apply_threshold(vec, REORDER_THRESHOLD).select(*ID_COLUMNS, "1_proba", "reordered")
+
+
+DESCRIBE_COLUMNS = ["up_cnt", "usr_total_cnt", "prd_total_cnt", "days_since_prior_order", "reordered"]
+ROC_SAMPLE_STEP = 2
+
+
+def audit_queries() -> dict[str, Query]:
+    def q(f):
+        return lambda s, d: f(chain(s, d))
+
+    return {
+        "null_counts": q(lambda c: audits.null_counts(c.train_data)),
+        "row_counts": q(
+            lambda c: audits.row_counts(
+                {"data_mart": c.data_mart, "user_mart": c.user_mart, "prd_mart": c.product_mart, "up_mart": c.up_mart}
+            )
+        ),
+        "duplicate_keys": q(lambda c: audits.duplicate_keys(c.train_lines, ["user_id", "product_id"])),
+        "unmatched": q(lambda c: audits.unmatched(c.up_mart, {"user_id": c.user_mart, "product_id": c.product_mart})),
+        "label_coverage": q(lambda c: audits.label_coverage(c.train_lines, c.data_mart)),
+        "unmatched_label_dist": q(lambda c: audits.unmatched_label_dist(c.train_lines, c.data_mart)),
+        "unlabelled_counts": q(lambda c: audits.unlabelled_counts(c.train_data)),
+        "undefined_ratios": q(
+            lambda c: audits.undefined_ratios(
+                c.up_mart, "up_usr_reord_ratio", ["user_id", "product_id", "up_reord_cnt", "usr_reord_cnt"]
+            )
+        ),
+        "describe_features": q(lambda c: splits.describe_columns(c.train_set, DESCRIBE_COLUMNS)),
+    }
+
+
+def result_queries() -> dict[str, Query]:
+    def q(f):
+        return lambda s, d: f(chain(s, d))
+
+    def sub(c):
+        return results.submission(scored_test(c))
+
+    return {
+        "threshold_labels": q(scored_test),
+        "order_counts": q(lambda c: results.order_counts(scored_test(c))),
+        "submission": q(sub),
+        "submission_coverage": q(lambda c: audits.submission_coverage(scored_test(c), sub(c), c.test_orders)),
+    }
+
+
+def evaluation_queries() -> dict[str, Query]:
+    def q(f):
+        return lambda s, d: f(scored_train(chain(s, d)))
+
+    return {
+        "confusion": q(evaluate.confusion),
+        "binary_metrics": q(evaluate.binary_metrics),
+        "roc_curve": q(evaluate.roc_curve),
+        "pr_curve": q(evaluate.pr_curve),
+        "auc_exact": q(evaluate.auc_exact),
+        "evaluate_report": q(evaluate.evaluate_report),
+        "curve_sample": q(lambda df: evaluate.sample_curve(evaluate.roc_curve(df), ROC_SAMPLE_STEP)),
+        "weighted_metrics": q(evaluate.weighted_metrics),
+    }
+
+
+def split_queries() -> dict[str, Query]:
+    keys = ["user_id", "product_id"]
+
+    def key_split(s, d):
+        ts = chain(s, d).train_set
+        return splits.split_index(ts, [0.8, 0.2], seed=2021, keys=keys).groupBy("split").agg(
+            F.count(F.lit(1)).alias("cnt"), F.sum("reordered").alias("positives")
+        )
+
+    def validation_flag(s, d):
+        ts = chain(s, d).train_set
+        return splits.with_validation_flag(ts, 0.2, seed=2021, keys=keys).select(*keys, "isVal")
+
+    return {"key_split": key_split, "validation_flag": validation_flag}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(mart_queries())
+    out.update(audit_queries())
+    out.update(result_queries())
+    out.update(evaluation_queries())
+    out.update(split_queries())
     return out
