@@ -154,6 +154,145 @@ def split_queries() -> dict[str, Query]:
     return {"key_split": key_split, "validation_flag": validation_flag}
 
 
+def model_queries() -> dict[str, Query]:
+    """Fitted models, so no SQL oracle (row-count check only)."""
+    from trolley.operators import models, tuning
+    from trolley.plans import modeling
+
+    def binary(s, d):
+        return modeling.prepare_binary(chain(s, d).train_set)
+
+    def multi(s, d):
+        return modeling.prepare_multiclass(s.read.parquet(os.path.join(d, "embeddings.parquet")))
+
+    def tree_predict(s, d):
+        p = multi(s, d)
+        m = models.fit_tree(p.train, label="label", maxDepth=10)
+        return models.predict(m, p.test).select("vec_id", "label", "prediction")
+
+    def forest_predict(s, d):
+        p = binary(s, d)
+        m = models.fit_forest(p.train)
+        return modeling.binary_predictions(m, p.test).drop("rawPrediction")
+
+    def gbt_predict(s, d):
+        p = binary(s, d)
+        m = models.fit_gbt(p.train, maxDepth=4, maxIter=30)
+        return modeling.binary_predictions(m, p.test).drop("rawPrediction")
+
+    def gbt_early_stop(s, d):
+        p = binary(s, d)
+        flagged = splits.with_validation_flag(p.train, 0.2, seed=2021, keys=["user_id", "product_id"])
+        m = models.fit_gbt(
+            flagged, n_estimators=100, learning_rate=0.1, max_depth=3, validationIndicatorCol="isVal"
+        )
+        return models.tree_summary(m)
+
+    def feature_importance(s, d):
+        p = binary(s, d)
+        return models.feature_importance(models.fit_forest(p.train), p.features)
+
+    def tree_summary(s, d):
+        p = multi(s, d)
+        return models.tree_summary(models.fit_tree(p.train, label="label", maxDepth=10))
+
+    def multiclass_metrics(s, d):
+        p = multi(s, d)
+        m = models.fit_forest(p.train, label="label", numTrees=100, maxDepth=4)
+        return evaluate.multiclass_report(models.predict(m, p.test), label="label")
+
+    def auc_binned(s, d):
+        p = binary(s, d)
+        pred = models.predict(models.fit_forest(p.train), p.test)
+        auc = evaluate.auc_binned(pred, label="reordered")
+        return s.createDataFrame([("areaUnderROC", auc)], "metric string, value double")
+
+    def model_report(s, d):
+        p = binary(s, d)
+        pred = modeling.binary_predictions(models.fit_forest(p.train), p.test)
+        return evaluate.evaluate_report(pred, label="label", prediction="prediction", score="1_proba")
+
+    def model_roc(s, d):
+        p = binary(s, d)
+        pred = modeling.binary_predictions(models.fit_forest(p.train), p.test)
+        return evaluate.roc_curve(pred, label="label", score="1_proba")
+
+    acc = evaluate.MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
+
+    def cv_results(s, d):
+        p = multi(s, d)
+        dt = models.tree(label="label", maxDepth=10)
+        cv = tuning.cross_validate(dt, tuning.grid(dt, {"maxDepth": [5, 10], "minInstancesPerNode": [3, 6]}), acc, 3, seed=0)
+        return tuning.tuning_results(cv.fit(p.train), s)
+
+    def cv_chain(s, d):
+        emb = s.read.parquet(os.path.join(d, "embeddings.parquet"))
+        cols = [f"e{i}" for i in range(64)]
+        wide = emb.select("vec_id", F.col("label").cast("double").alias("label"), *[F.col("embedding")[i].alias(c) for i, c in enumerate(cols)])
+        tr, te = splits.split(wide, [0.7, 0.3], seed=0, keys=["vec_id"])
+        dt = models.tree(label="label", maxDepth=10)
+        pipe = models.pipeline([models.assembler(cols), dt])
+        g = tuning.stage_grid(dt, {"maxDepth": [5, 7, 8, 10], "minInstancesPerNode": [3, 5, 6]})
+        model = tuning.cross_validate(pipe, g, acc, 3, seed=0, parallelism=4).fit(tr)
+        return tuning.tuning_results(model, s)
+
+    def cv_stage(s, d):
+        emb = s.read.parquet(os.path.join(d, "embeddings.parquet"))
+        cols = [f"e{i}" for i in range(64)]
+        wide = emb.select("vec_id", F.col("label").cast("double").alias("label"), *[F.col("embedding")[i].alias(c) for i, c in enumerate(cols)])
+        tr, te = splits.split(wide, [0.7, 0.3], seed=0, keys=["vec_id"])
+        dt = models.tree(label="label")
+        g = tuning.grid(dt, {"maxDepth": [5, 7, 8, 10], "minInstancesPerNode": [3, 5, 6]})
+        pipe = models.pipeline([models.assembler(cols), tuning.cross_validate(dt, g, acc, 3, seed=0, parallelism=4)])
+        return pipe.fit(tr).transform(te).select("vec_id", "label", "prediction")
+
+    def tvs_results(s, d):
+        p = multi(s, d)
+        dt = models.tree(label="label", maxDepth=10)
+        g = tuning.grid(dt, {"maxDepth": [5, 7, 8, 10], "minInstancesPerNode": [3, 5, 6]})
+        return tuning.tuning_results(tuning.train_validation(dt, g, acc, 0.75, seed=0, parallelism=4).fit(p.train), s)
+
+    def threshold_search(s, d):
+        p = binary(s, d)
+        est = models.gbt()
+        draws = tuning.draw_params(n=SEARCH_CHECK_TRIALS)
+        model = tuning.search(est, p.train, draws=draws, rounds=SEARCH_CHECK_ROUNDS)
+        return tuning.tuning_results(model, s)
+
+    def refit_best(s, d):
+        c = chain(s, d)
+        p = binary(s, d)
+        params = dict(tuning.BEST_PARAMS)
+        m = models.fit_gbt(p.train.unionByName(p.test), numIterations=REFIT_ROUNDS, **params)
+        return modeling.submission_from_model(m, c.test_set)
+
+    return {
+        "tree_predict": tree_predict,
+        "forest_predict": forest_predict,
+        "gbt_predict": gbt_predict,
+        "gbt_early_stop": gbt_early_stop,
+        "feature_importance": feature_importance,
+        "tree_summary": tree_summary,
+        "multiclass_metrics": multiclass_metrics,
+        "auc_binned": auc_binned,
+        "model_report": model_report,
+        "model_roc": model_roc,
+        "cv_results": cv_results,
+        "cv_chain": cv_chain,
+        "cv_stage": cv_stage,
+        "tvs_results": tvs_results,
+        "threshold_search": threshold_search,
+        "refit_best": refit_best,
+    }
+
+
+# Size of the registered search/refit checks. The library defaults are the reference's 25 trials × 50 rounds
+# and a 100-round refit; the registered checks run a shorter search so the row-count check stays quick.
+SEARCH_CHECK_TRIALS = 4
+SEARCH_CHECK_ROUNDS = 10
+REFIT_ROUNDS = 20
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(mart_queries())
@@ -161,4 +300,5 @@ def all_queries() -> dict[str, Query]:
     out.update(result_queries())
     out.update(evaluation_queries())
     out.update(split_queries())
+    out.update(model_queries())
     return out
