@@ -131,11 +131,23 @@ def product_mart(up: DataFrame, prod_aisle: DataFrame) -> DataFrame:
     )
 
 
-def user_features(up: DataFrame, opp: DataFrame) -> DataFrame:
-    """M5: per-user features, rolled up from the user×product base (+ distinct orders from the lines)."""
-    orders_per_user = (
-        opp.select("user_id", "order_id").distinct().groupBy("user_id").agg(F.count(F.lit(1)).alias("order_uq_cnt"))
+def orders_with_lines(priors: DataFrame, orders: DataFrame) -> DataFrame:
+    """Distinct prior orders that have at least one line, per user.
+
+    Reads only ``order_id`` of the lines; the distinct is partially aggregated before its shuffle, so this pass
+    moves one row per order instead of one per line, and the join to ``orders`` has unique keys on both sides.
+    """
+    ids = priors.select("order_id").distinct()
+    return (
+        ids.join(orders.select("order_id", "user_id"), "order_id")
+        .groupBy("user_id")
+        .agg(F.count(F.lit(1)).alias("order_uq_cnt"))
     )
+
+
+def user_features(up: DataFrame, priors: DataFrame, orders: DataFrame) -> DataFrame:
+    """M5: per-user features, rolled up from the user×product base (+ distinct orders per user)."""
+    orders_per_user = orders_with_lines(priors, orders)
     g = up.groupBy("user_id").agg(
         F.sum("up_cnt").alias("usr_total_cnt"),
         F.count(F.lit(1)).alias("prd_uq_cnt"),

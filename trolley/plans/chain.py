@@ -3,8 +3,9 @@
 ``MartChain(basket)`` exposes every stage of the feature build (prior lines → user×product base → product /
 user marts → data mart → train / test sets). Stages are built on first access and shared, so a query that
 needs several marts plans the user×product aggregation once and Spark reuses its exchange. ``store=True``
-writes the three big stages (prior lines, user×product base, data mart) to the checkpoint folder, as the
-reference stores every stage with CTAS.
+writes the user×product base and the data mart to the checkpoint folder (the reference stores every stage
+with CTAS). This matters at scale: consumers of one stage prune different columns, so without a stored copy
+Spark plans the line shuffle once per consumer; with it the lines are shuffled once.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ class MartChain:
 
     @cached_property
     def opp(self) -> DataFrame:
-        return self._keep(marts.prior_lines(self.b.priors, self.b.orders), "order_priors_prods")
+        return marts.prior_lines(self.b.priors, self.b.orders)
 
     @cached_property
     def up_base(self) -> DataFrame:
@@ -65,7 +66,7 @@ class MartChain:
 
     @cached_property
     def user_features(self) -> DataFrame:
-        return marts.user_features(self.up_base, self.opp)
+        return marts.user_features(self.up_base, self.b.priors, self.b.orders)
 
     @cached_property
     def user_mart(self) -> DataFrame:

@@ -20,10 +20,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 _CHAINS: dict[tuple[str, str], MartChain] = {}
 
 
+def _tag(sf_dir: str) -> str:
+    import hashlib
+
+    return "chain-" + hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+
+
 def chain(spark: SparkSession, sf_dir: str) -> MartChain:
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key not in _CHAINS:
-        _CHAINS[key] = MartChain(load_basket(spark, sf_dir), spark=spark)
+        _CHAINS[key] = MartChain(load_basket(spark, sf_dir), spark=spark, store=True, tag=_tag(sf_dir))
     return _CHAINS[key]
 
 
