@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The analytics this library rebuilds are batch jobs only: no stream source, watermark, window or state occurs
+in them, so this package intentionally holds no code. Every operator is a function of DataFrames and
+therefore also accepts streaming DataFrames where Spark allows the same plan (stateless projections and
+filters such as ``results.apply_threshold``); grouped outputs like the submission need batch input.
+"""
