@@ -384,6 +384,8 @@ def all_queries() -> dict[str, str]:
     out = {}
     out.update(mart_queries())
     out.update(audit_queries())
+    out["sql_user_features"] = with_ctes("SELECT * FROM user_f")
+    out["submission_csv"] = with_eval("SELECT * FROM sub")
     out.update(result_queries())
     out.update(evaluation_queries())
     out.update(split_queries())

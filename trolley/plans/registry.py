@@ -113,6 +113,46 @@ def audit_queries() -> dict[str, Query]:
     }
 
 
+USER_FEATURES_SQL = """
+SELECT user_id
+  , count(*) AS usr_total_cnt
+  , count(DISTINCT product_id) AS prd_uq_cnt
+  , count(DISTINCT order_id) AS order_uq_cnt
+  , try_divide(count(*), count(DISTINCT order_id)) AS usr_avg_prd_cnt
+  , try_divide(count(*), count(DISTINCT product_id)) AS usr_avg_uq_prd_cnt
+  , try_divide(count(DISTINCT product_id), count(*)) AS usr_uq_prd_ratio
+  , sum(reordered) AS usr_reord_cnt
+  , sum(CASE WHEN reordered = 0 THEN 1 ELSE 0 END) AS usr_no_reord_cnt
+  , avg(reordered) AS usr_reordered_avg
+  , avg(days_since_prior_order) AS usr_avg_prior_days
+  , max(days_since_prior_order) AS usr_max_prior_days
+  , min(days_since_prior_order) AS usr_min_prior_days
+  , avg(order_dow) AS usr_avg_order_dow
+  , avg(order_hour_of_day) AS usr_avg_order_hour_of_day
+  , max(order_number) AS usr_max_order_number
+FROM order_priors_prods GROUP BY user_id
+"""
+
+
+def io_queries() -> dict[str, Query]:
+    """IO1/IO4/IO5/IO8: SQL over registered views, and the submission written as CSV and read back."""
+    from trolley.session import stage_dir
+    from trolley.sources import io
+
+    def sql_user_features(s, d):
+        c = chain(s, d)
+        # One SQL statement over views of stored/base frames (no chain of SQL views, see SURVEY P1).
+        io.register_views({"order_priors_prods": c.opp})
+        return s.sql(USER_FEATURES_SQL)
+
+    def submission_csv(s, d):
+        path = stage_dir(s, "submission-csv-" + _tag(d))
+        io.write_submission(results.submission(scored_test(chain(s, d))), path)
+        return io.read_csv(s, path, io.SUBMISSION_SCHEMA)
+
+    return {"sql_user_features": sql_user_features, "submission_csv": submission_csv}
+
+
 def result_queries() -> dict[str, Query]:
     def q(f):
         return lambda s, d: f(chain(s, d))
@@ -303,6 +343,7 @@ def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(mart_queries())
     out.update(audit_queries())
+    out.update(io_queries())
     out.update(result_queries())
     out.update(evaluation_queries())
     out.update(split_queries())

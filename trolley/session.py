@@ -44,7 +44,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="trolley-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 - some deployments reject runtime changes of core settings
+            pass
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
