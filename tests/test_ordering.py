@@ -22,8 +22,12 @@ def test_running_totals_equals_window_with_hot_group(spark):
         g = 0 if i % 3 == 0 else rng.randrange(1, 40)  # group 0 holds a third of all rows
         rows.append((g, i * 7 + rng.randrange(7), rng.randrange(100)))
     df = spark.createDataFrame(rows, "g int, k long, v int")
-    got = running_totals(df, [F.col("k")], F.col("k"), ["g"], {"cv": F.col("v")}, blocks=16)
+    got = running_totals(df, [F.col("k")], F.col("k"), ["g"], {"cv": F.col("v")}, blocks=16, max_group_rows=0)
+    small = running_totals(df, [F.col("k")], F.col("k"), ["g"], {"cv": F.col("v")})
     exp = _window_reference(df)
+    assert sorted(tuple(r) for r in small.select("g", "k", "rank", "cv", "group_rows").collect()) == sorted(
+        tuple(r) for r in exp.collect()
+    )
     a = sorted(tuple(r) for r in got.select("g", "k", "rank", "cv", "group_rows").collect())
     b = sorted(tuple(r) for r in exp.collect())
     assert a == b
@@ -32,7 +36,7 @@ def test_running_totals_equals_window_with_hot_group(spark):
 def test_running_totals_global_descending(spark):
     rows = [(float(x) / 10.0, x % 3) for x in range(200)]
     df = spark.createDataFrame(rows, "s double, v int")
-    got = running_totals(df, [F.col("s").desc()], -F.col("s"), sums={"cv": F.col("v")}, blocks=8)
+    got = running_totals(df, [F.col("s").desc()], -F.col("s"), sums={"cv": F.col("v")}, blocks=8, max_group_rows=0)
     out = sorted((r["s"], r["rank"], r["cv"], r["cv_total"]) for r in got.collect())
     desc = sorted(rows, key=lambda t: -t[0])
     acc = 0

@@ -12,7 +12,9 @@ data. ``running_totals`` computes the same positions and inclusive running sums
    most ``blocks`` rows, so it is broadcast (its size is bounded by construction).
 3. Rows join their block offset and a window *within* (group, block) adds the local position.
 
-The result equals the single-window formulation exactly; only the task sizes differ.
+The result equals the single-window formulation exactly; only the task sizes differ. Before choosing, one
+aggregation measures the largest group: if no group exceeds ``max_group_rows`` the plain window is used (every
+task is then bounded by that size), otherwise the blocked plan.
 """
 
 from __future__ import annotations
@@ -26,6 +28,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_BLOCKS = 1024
+MAX_GROUP_ROWS = 1_000_000  # largest group one window task may sort
+
+
+def largest_group(df: DataFrame, partition_by: Sequence[str]) -> int:
+    """Row count of the largest group (one partially aggregated job; returns one number)."""
+    if not partition_by:
+        return df.count()
+    row = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
+    return int(row["m"] or 0)
 
 
 def quantile_splits(df: DataFrame, key: str, blocks: int) -> list[float]:
@@ -49,6 +60,7 @@ def running_totals(
     blocks: int = DEFAULT_BLOCKS,
     rank_col: str = "rank",
     count_col: str = "group_rows",
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add the 1-based position along ``order_by`` within ``partition_by`` and inclusive running sums.
 
@@ -59,6 +71,8 @@ def running_totals(
     """
     part = list(partition_by)
     sums = dict(sums or {})
+    if max_group_rows is not None and largest_group(df, part) <= max_group_rows:
+        return _single_window(df, order_by, part, sums, rank_col, count_col)
     work = df.withColumn("_rt_k", block_key.cast(T.DoubleType()))
     for name, expr in sums.items():
         work = work.withColumn(f"_rt_v_{name}", expr)
@@ -104,6 +118,27 @@ def running_totals(
     return out
 
 
+def _single_window(
+    df: DataFrame,
+    order_by: Sequence[Column],
+    part: list[str],
+    sums: Mapping[str, Column],
+    rank_col: str,
+    count_col: str,
+) -> DataFrame:
+    """The plain window plan, used when every group is known to be small."""
+    w = (Window.partitionBy(*part) if part else Window).orderBy(*order_by)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*part) if part else Window.partitionBy(F.lit(0))
+    return df.select(
+        *df.columns,
+        F.row_number().over(w).cast("long").alias(rank_col),
+        F.count(F.lit(1)).over(whole).alias(count_col),
+        *[F.sum(expr).over(upto).alias(n) for n, expr in sums.items()],
+        *[F.sum(expr).over(whole).alias(f"{n}_total") for n, expr in sums.items()],
+    )
+
+
 def dense_rank_values(df: DataFrame, col_name: str, out: str) -> DataFrame:
     """``dense_rank() over (order by col)`` as a (value, rank) table.
 
