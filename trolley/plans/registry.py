@@ -263,12 +263,15 @@ def model_queries() -> dict[str, Query]:
         pred = modeling.binary_predictions(models.fit_forest(p.train), p.test)
         return evaluate.roc_curve(pred, label="label", score="1_proba")
 
-    acc = evaluate.MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
+    def accuracy():
+        return evaluate.MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
 
     def cv_results(s, d):
         p = multi(s, d)
         dt = models.tree(label="label", maxDepth=10)
-        cv = tuning.cross_validate(dt, tuning.grid(dt, {"maxDepth": [5, 10], "minInstancesPerNode": [3, 6]}), acc, 3, seed=0)
+        cv = tuning.cross_validate(
+            dt, tuning.grid(dt, {"maxDepth": [5, 10], "minInstancesPerNode": [3, 6]}), accuracy(), 3, seed=0, parallelism=4
+        )
         return tuning.tuning_results(cv.fit(p.train), s)
 
     def cv_chain(s, d):
@@ -279,7 +282,7 @@ def model_queries() -> dict[str, Query]:
         dt = models.tree(label="label", maxDepth=10)
         pipe = models.pipeline([models.assembler(cols), dt])
         g = tuning.stage_grid(dt, {"maxDepth": [5, 7, 8, 10], "minInstancesPerNode": [3, 5, 6]})
-        model = tuning.cross_validate(pipe, g, acc, 3, seed=0, parallelism=4).fit(tr)
+        model = tuning.cross_validate(pipe, g, accuracy(), 3, seed=0, parallelism=4).fit(tr)
         return tuning.tuning_results(model, s)
 
     def cv_stage(s, d):
@@ -289,14 +292,14 @@ def model_queries() -> dict[str, Query]:
         tr, te = splits.split(wide, [0.7, 0.3], seed=0, keys=["vec_id"])
         dt = models.tree(label="label")
         g = tuning.grid(dt, {"maxDepth": [5, 7, 8, 10], "minInstancesPerNode": [3, 5, 6]})
-        pipe = models.pipeline([models.assembler(cols), tuning.cross_validate(dt, g, acc, 3, seed=0, parallelism=4)])
+        pipe = models.pipeline([models.assembler(cols), tuning.cross_validate(dt, g, accuracy(), 3, seed=0, parallelism=4)])
         return pipe.fit(tr).transform(te).select("vec_id", "label", "prediction")
 
     def tvs_results(s, d):
         p = multi(s, d)
         dt = models.tree(label="label", maxDepth=10)
         g = tuning.grid(dt, {"maxDepth": [5, 7, 8, 10], "minInstancesPerNode": [3, 5, 6]})
-        return tuning.tuning_results(tuning.train_validation(dt, g, acc, 0.75, seed=0, parallelism=4).fit(p.train), s)
+        return tuning.tuning_results(tuning.train_validation(dt, g, accuracy(), 0.75, seed=0, parallelism=4).fit(p.train), s)
 
     def threshold_search(s, d):
         p = binary(s, d)
