@@ -114,8 +114,8 @@ def product_map(part: DataFrame) -> DataFrame:
     )
 
 
-def basket_lines(lineitem: DataFrame, pmap: DataFrame, b_orders: DataFrame) -> DataFrame:
-    """All order lines with cart position, order context and the reordered flag."""
+def line_context(lineitem: DataFrame, pmap: DataFrame, b_orders: DataFrame) -> DataFrame:
+    """Order lines per (order, product) with cart position and order context (user, number, eval_set)."""
     lines = (
         lineitem.select("l_orderkey", "l_partkey", "l_linenumber")
         .join(pmap.select("p_partkey", "product_id"), F.col("l_partkey") == F.col("p_partkey"))
@@ -130,18 +130,32 @@ def basket_lines(lineitem: DataFrame, pmap: DataFrame, b_orders: DataFrame) -> D
         rank_col="add_to_cart_order",
         count_col="order_lines",
     )
-    ctx = carted.join(b_orders.select("order_id", "user_id", "order_number", "eval_set"), on="order_id")
-    # First order of each (user, product): partial aggregation, then a join; AQE splits a hot key.
+    return carted.join(b_orders.select("order_id", "user_id", "order_number", "eval_set"), on="order_id").select(
+        "order_id", "product_id", F.col("add_to_cart_order").cast("int").alias("add_to_cart_order"),
+        "user_id", "order_number", "eval_set",
+    )
+
+
+def flag_reorders(ctx: DataFrame) -> DataFrame:
+    """``reordered`` = an earlier order of the same user holds the product.
+
+    First order per (user, product) is a partially aggregated ``min`` joined back (AQE splits a hot key).
+    """
     first = ctx.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_order_number"))
     return ctx.join(first, on=["user_id", "product_id"]).select(
         "order_id",
         "product_id",
-        F.col("add_to_cart_order").cast("int").alias("add_to_cart_order"),
+        "add_to_cart_order",
         (F.col("order_number") > F.col("first_order_number")).cast("int").alias("reordered"),
         "eval_set",
     )
 
 
+def basket_lines(lineitem: DataFrame, pmap: DataFrame, b_orders: DataFrame) -> DataFrame:
+    """All order lines with cart position and the reordered flag (lazy form)."""
+    return flag_reorders(line_context(lineitem, pmap, b_orders))
+
+
 def basket_tables(b_orders: DataFrame, pmap: DataFrame, lines: DataFrame) -> Basket:
     """Split the derived lines by ``eval_set`` and project the dimension tables."""
 
@@ -203,8 +217,10 @@ def load_basket(spark: SparkSession, sf_dir: str, *, stored: bool = True) -> Bas
     base = stage_dir(spark, f"basket-{_digest(sf_dir)}")
     b_orders = materialize(basket_orders(src["orders"]), f"{base}/orders")
     pmap = materialize(product_map(src["part"]), f"{base}/product_map")
-    # Lines are stored once, partitioned by eval_set: priors / trains / tests prune to their folder.
-    lines = materialize(basket_lines(src["lineitem"], pmap, b_orders), f"{base}/lines", partition_by=["eval_set"])
+    # The line context feeds both the first-purchase aggregate and its join: store it once instead of
+    # deriving it twice. Final lines are stored partitioned by eval_set: priors / trains / tests prune.
+    ctx = materialize(line_context(src["lineitem"], pmap, b_orders), f"{base}/line_context")
+    lines = materialize(flag_reorders(ctx), f"{base}/lines", partition_by=["eval_set"])
     basket = basket_tables(b_orders, pmap, lines)
     _MEMO[key] = basket
     return basket
