@@ -60,25 +60,36 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """(doc_id, text, y) of the documents whose label may be learnt.
-
-    Rows with a NULL label or key are left out; a doc_id labelled twice takes its largest label, and a
-    doc_id that occurs in several document rows gives one example per row.
-    """
-    y = (
+def learnable(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, y) of the labels outside the held-out fold."""
+    return (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
         .where(~held_out(F.col("doc_id")))
-        .groupBy("doc_id")
-        .agg(F.max(F.col(label).cast("int")).alias("y"))
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+        .agg(F.max((F.col(label) > 0).cast("int")).alias("y"))
     )
-    d = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return d.join(y, "doc_id")
 
 
-def sample_rows(df: DataFrame, key: str, n: int, seed: int = 7) -> DataFrame:
-    """At most ``n`` rows, those with the smallest seeded hash of ``key`` (the same rows on every run)."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+def label_counts(labels: DataFrame, label: str) -> DataFrame:
+    """(y, n): how many labels of each class may be learnt."""
+    return learnable(labels, label).groupBy("y").agg(F.count(F.lit(1)).alias("n"))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int | None = None, seed: int = 7) -> DataFrame:
+    """(doc_id, text, y) of the documents whose label may be learnt; y is 0 or 1.
+
+    Rows with a NULL label or key are left out; a doc_id labelled twice takes its largest label, and a doc_id
+    that occurs in several document rows gives one example per row. ``per_class`` bounds the sample: of each
+    class the doc_ids with the smallest seeded hashes, the same ones on every run.
+    """
+    y = learnable(labels, label)
+    if per_class:
+        order = [F.xxhash64(F.lit(seed), F.col("doc_id")), F.col("doc_id")]
+        y = y.where("y = 0").orderBy(*order).limit(per_class).unionByName(
+            y.where("y = 1").orderBy(*order).limit(per_class)
+        )
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return d.join(y, "doc_id")
 
 
 def one_blas_thread() -> None:

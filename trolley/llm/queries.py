@@ -31,6 +31,24 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")).drop("ids")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.quality_model import quality
+
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.quality_rules import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trolley.llm.token_counts import token_counts
     from trolley.llm.tokens import vocabulary
@@ -43,7 +61,10 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_source_mix": op1_source_mix,
         "op3_token_files": op3_token_files,
         "op4_packing": op4_packing,
+        "op5_toxicity": op5_toxicity,
+        "op6_quality_rules": op6_quality_rules,
         "op8_token_counts": op8_token_counts,
+        "op10_quality": op10_quality,
     }
 
 
