@@ -37,6 +37,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.near_dedup import near_dedup
+
+    return near_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trolley.llm.quality_model import quality
 
@@ -64,6 +70,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_toxicity": op5_toxicity,
         "op6_quality_rules": op6_quality_rules,
         "op8_token_counts": op8_token_counts,
+        "op9_near_dedup": op9_near_dedup,
         "op10_quality": op10_quality,
     }
 
