@@ -37,6 +37,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.hamming_search import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trolley.llm.near_dedup import near_dedup
 
@@ -69,6 +75,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_packing": op4_packing,
         "op5_toxicity": op5_toxicity,
         "op6_quality_rules": op6_quality_rules,
+        "op7_hamming_search": op7_hamming_search,
         "op8_token_counts": op8_token_counts,
         "op9_near_dedup": op9_near_dedup,
         "op10_quality": op10_quality,
