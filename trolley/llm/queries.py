@@ -17,6 +17,12 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.html_text import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trolley.llm.token_output import token_files
     from trolley.llm.tokens import vocabulary
@@ -71,6 +77,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mix": op1_source_mix,
+        "op2_html_text": op2_html_text,
         "op3_token_files": op3_token_files,
         "op4_packing": op4_packing,
         "op5_toxicity": op5_toxicity,
