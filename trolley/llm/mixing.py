@@ -182,15 +182,16 @@ def take(sized: DataFrame, *, share: float, weights: Sequence[float], max_repeat
     )
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, *, stored: bool = False, **options) -> DataFrame:
     """The mix as documents: the input's rows and columns, each as often as it is taken.
 
     A document's taken words are a number of whole copies and a rest; the rest becomes one more copy with the
-    probability of its share (seeded by the row), so each source's words stay near its target.
+    probability of its share (seeded by the document), so each source's words stay near its target. The rows are
+    numbered twice, so the input must be read alike both times: a table of files is (``stored``), anything else
+    is written first.
     """
-    spark = docs.sparkSession
     cols = docs.columns
-    rows = store(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-input")
+    rows = (docs if stored else store(docs, "mix-input")).withColumn("_row", F.monotonically_increasing_id())
     sized = rows.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
@@ -199,7 +200,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     )
     o = {"share": 1.5, "weights": (3, 1, 2), "max_repeat": 2, "seed": 2025} | options
     got = take(store(sized, "mix-sizes"), **o)
-    u = F.pmod(F.xxhash64(F.lit(o["seed"] + 2), "row"), F.lit(1 << 30)) / float(1 << 30)
+    u = F.pmod(F.xxhash64(F.lit(o["seed"] + 2), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     copies = got.where(F.col("taken") > 0).select(
         F.col("row").alias("_row"), F.floor(F.col("taken") / F.col("size") + u).cast("int").alias("_n")
     )

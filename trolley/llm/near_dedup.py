@@ -337,9 +337,13 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     )
 
 
-def first_documents(docs: DataFrame) -> DataFrame:
-    """The input's rows and columns with one row of each component."""
-    rows = store(docs, "dedup-input")  # so that both reads number the rows alike
-    keep = near_dedup(rows).where("first").select("doc_id", F.col("n_shingles"), "row")
+def first_documents(docs: DataFrame, *, stored: bool = False) -> DataFrame:
+    """The input's rows and columns with one row of each component.
+
+    The rows are numbered twice, so the input must be read alike both times: a table of files is (``stored``),
+    anything else is written first.
+    """
+    rows = docs if stored else store(docs, "dedup-input")
+    keep = near_dedup(rows).where("first").select(F.col("row").alias("_row"))
     numbered = rows.withColumn("_row", F.monotonically_increasing_id())
-    return numbered.join(keep.select(F.col("row").alias("_row")), "_row", "left_semi").select(*docs.columns)
+    return numbered.join(keep, "_row", "left_semi").select(*docs.columns)
