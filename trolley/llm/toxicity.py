@@ -247,9 +247,9 @@ def learn_lexicon(train: DataFrame) -> Lexicon:
     prefixes: dict[str, float] = {}
     for u in sorted((u for u in good if u.endswith("*")), key=lambda u: (len(u), u)):
         if not any(u.startswith(p) for p in prefixes):
-            prefixes[u[:-1]] = wilson_low(candidates[u], total[u])
+            prefixes[u[:-1]] = wilson_low(candidates[u], total[u], 1.0)
     words = {w: SEED_WEIGHT for w in SEED_ATTACKS if not clean.get(w)}
-    words |= {u: wilson_low(candidates[u], total[u]) for u in good if not u.endswith("*")}
+    words |= {u: wilson_low(candidates[u], total[u], 1.0) for u in good if not u.endswith("*")}
     words = {w: x for w, x in words.items() if not any(w[:k] in prefixes for k in PREFIXES)}
     return Lexicon(words, prefixes)
 
