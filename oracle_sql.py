@@ -267,7 +267,12 @@ sub AS (
 )
 """
 
-_SLOT = "(((((user_id % 1000003) + 1000003) % 1000003) * 7919 + (((product_id % 1000003) + 1000003) % 1000003) * 104729 + 2021) % 1000)"
+
+
+def _slot(seed: int) -> str:
+    """The first 8 hex digits of the MD5 of seed and keys, as a number."""
+    return f"CAST('0x' || substr(md5('{seed}:' || user_id || ':' || product_id), 1, 8) AS BIGINT)"
+
 
 _DESCRIBE = ["up_cnt", "usr_total_cnt", "prd_total_cnt", "days_since_prior_order", "reordered"]
 
@@ -373,10 +378,10 @@ def evaluation_queries() -> dict[str, str]:
 def split_queries() -> dict[str, str]:
     return {
         "key_split": with_ctes(
-            f"SELECT CASE WHEN {_SLOT} < 800 THEN 0 ELSE 1 END AS split, count(*) AS cnt, "
+            f"SELECT CASE WHEN {_slot(2021)} < {round(0.8 * 2**32)} THEN 0 ELSE 1 END AS split, count(*) AS cnt, "
             "CAST(sum(reordered) AS BIGINT) AS positives FROM train_set GROUP BY 1"
         ),
-        "validation_flag": with_ctes(f"SELECT user_id, product_id, {_SLOT} < 200 AS isVal FROM train_set"),
+        "validation_flag": with_ctes(f"SELECT user_id, product_id, {_slot(2022)} < {round(0.2 * 2**32)} AS isVal FROM train_set"),
     }
 
 

@@ -44,9 +44,10 @@ def unmatched(df: DataFrame, targets: Mapping[str, DataFrame]) -> DataFrame:
 
 def label_coverage(lines: DataFrame, dm: DataFrame, *, name_col: str = "gubun", count_col: str = "cnt") -> DataFrame:
     """Q5: labelled lines without a feature row, by (user, product), by user only and by product only."""
+    # The single keys are aggregated before their shuffle: a popular product is one row a task, not all its rows.
     pair = lines.join(dm.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti")
-    only_user = lines.join(dm.select("user_id"), "user_id", "left_anti")
-    only_product = lines.join(dm.select("product_id"), "product_id", "left_anti")
+    only_user = lines.join(dm.select("user_id").distinct(), "user_id", "left_anti")
+    only_product = lines.join(dm.select("product_id").distinct(), "product_id", "left_anti")
     return row_counts(
         {"pair_count": pair, "only_user_id_count": only_user, "only_product_id_count": only_product},
         name_col=name_col,

@@ -5,17 +5,15 @@ ROC and PR curves. Here everything stays in Spark:
 
 * confusion counts and the derived metrics are one aggregation;
 * curves first count labels per distinct score (partial aggregation), then take running sums along the score
-  with ``running_totals`` (blocked, so no single task holds all scores), then compute the points;
+  with ``running_totals`` (range-partitioned, so no single task holds all scores), then compute the points;
 * the exact AUC is a sum over distinct scores of ``neg * (2*tp - pos)`` in integers divided once by ``2PN``
   (ties count one half), so it does not depend on summation order.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +21,7 @@ from trolley.functions.scalar import flag_count, ratio
 from trolley.operators.ordering import running_totals
 
 _BIG = T.DecimalType(38, 0)
+REPORT = ("tn", "fp", "fn", "tp", "accuracy", "precision", "recall", "f1", "auc")
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -41,29 +40,36 @@ def _counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
     )
 
 
-def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Positive-class precision, recall, F1 and accuracy (one aggregation). Zero divisors give NULL."""
-    c = _counts(df, label, prediction)
-    precision = ratio("tp", F.col("tp") + F.col("fp"))
-    recall = ratio("tp", F.col("tp") + F.col("fn"))
-    return c.select(
+def _metrics(counts: DataFrame, *keep: str) -> DataFrame:
+    """Counts and the metrics derived from them; zero divisors give NULL."""
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    return counts.select(
         "tp",
         "fp",
         "fn",
         "tn",
-        precision.alias("precision"),
-        recall.alias("recall"),
-        ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"),
-        ratio(F.col("tp") + F.col("tn"), F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("accuracy"),
+        ratio(tp, tp + fp).alias("precision"),
+        ratio(tp, tp + fn).alias("recall"),
+        ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        ratio(tp + tn, tp + fp + fn + tn).alias("accuracy"),
+        *keep,
     )
 
 
+def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """Positive-class precision, recall, F1 and accuracy (one aggregation). Zero divisors give NULL."""
+    return _metrics(_counts(df, label, prediction))
+
+
+def _checked(score: str) -> Column:
+    """The score; a NULL or NaN one raises."""
+    bad = F.col(score).isNull() | F.isnan(score)
+    return F.when(bad, F.raise_error(F.lit("NULL or NaN score"))).otherwise(F.col(score))
+
+
 def score_counts(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Positives and negatives per distinct score (NULL scores are not allowed)."""
-    s = F.when(F.col(score).isNull() | F.isnan(score), F.raise_error(F.lit("NULL or NaN score"))).otherwise(
-        F.col(score)
-    )
-    return df.groupBy(s.alias("threshold")).agg(
+    return df.groupBy(_checked(score).alias("threshold")).agg(
         flag_count(F.col(label) == 1).alias("pos"), flag_count(F.col(label) != 1).alias("neg")
     )
 
@@ -77,7 +83,6 @@ def cumulative(df: DataFrame, label: str = "label", score: str = "score") -> Dat
     return running_totals(
         sc,
         order_by=[F.col("threshold").desc()],
-        block_key=-F.col("threshold"),
         sums={"tp": F.col("pos"), "fp": F.col("neg")},
     )
 
@@ -126,11 +131,25 @@ def evaluate_report(
     df: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score"
 ) -> DataFrame:
     """Confusion counts, accuracy, precision, recall, F1 and AUC as (metric, value) rows."""
-    m = binary_metrics(df, label, prediction)
-    names = ["tn", "fp", "fn", "tp", "accuracy", "precision", "recall", "f1"]
-    rows = [m.select(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in names]
-    rows.append(auc_exact(df, label, score).select(F.lit("auc").alias("metric"), F.col("auc").alias("value")))
-    return reduce(DataFrame.unionByName, rows)
+    y, p = F.col(label) == 1, F.col(prediction) == 1
+    per_score = df.groupBy(_checked(score).alias("threshold")).agg(
+        flag_count(y).alias("pos"),
+        flag_count(~y).alias("neg"),
+        flag_count(y & p).alias("tp"),
+        flag_count(~y & p).alias("fp"),
+        flag_count(y & ~p).alias("fn"),
+        flag_count(~y & ~p).alias("tn"),
+    )
+    c = running_totals(per_score, [F.col("threshold").desc()], sums={"above": F.col("pos")})
+    # Twice the pairs (negative, positive scored higher), a tie counting one half; one row from one aggregate.
+    twice = F.sum(F.col("neg").cast(_BIG) * (2 * F.col("above") - F.col("pos")).cast(_BIG)).cast("double")
+    row = c.agg(
+        *[F.sum(n).alias(n) for n in ("tp", "fp", "fn", "tn")],
+        ratio(twice, F.lit(2.0) * F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"),
+    )
+    row = _metrics(row, "auc")
+    pairs = ", ".join(f"'{n}', cast({n} as double)" for n in REPORT)
+    return row.select(F.expr(f"stack({len(REPORT)}, {pairs}) as (metric, value)"))
 
 
 def multiclass_metric(df: DataFrame, metric: str, label: str = "label", prediction: str = "prediction") -> float:
@@ -155,14 +174,22 @@ def weighted_metrics(df: DataFrame, label: str = "label", prediction: str = "pre
 
     Same definitions as Spark's ``MulticlassMetrics`` (weights = true-class share).
     """
-    by_label = df.groupBy(F.col(label).alias("cls")).agg(F.count(F.lit(1)).alias("n_true"))
-    by_pred = df.groupBy(F.col(prediction).alias("cls")).agg(F.count(F.lit(1)).alias("n_pred"))
-    hits = df.where(F.col(label) == F.col(prediction)).groupBy(F.col(label).alias("cls")).agg(
-        F.count(F.lit(1)).alias("n_hit")
+    cells = df.groupBy(F.col(label).cast("double").alias("l"), F.col(prediction).cast("double").alias("c")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    # From here on: one row per (class, class), then one per class.
+    sides = F.explode(
+        F.array(
+            F.struct(F.col("l").alias("cls"), F.col("n").alias("t"), F.lit(0).cast("long").alias("q")),
+            F.struct(F.col("c").alias("cls"), F.lit(0).cast("long").alias("t"), F.col("n").alias("q")),
+        )
     )
+    hit = F.when(F.col("l") == F.col("c"), F.col("n")).otherwise(0)
     per = (
-        by_label.join(by_pred, "cls", "left")
-        .join(hits, "cls", "left")
+        cells.select(sides.alias("s"), hit.alias("h"))
+        .groupBy("s.cls")
+        .agg(F.sum("s.t").alias("n_true"), F.sum("s.q").alias("n_pred"), (F.sum("h") / 2).alias("n_hit"))
+        .where("n_true > 0")
         .select(
             "cls",
             "n_true",

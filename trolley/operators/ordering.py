@@ -1,151 +1,97 @@
 """Ordered positions and running sums that do not put a whole group into one task.
 
-``row_number() over (partition by g order by k)`` makes Spark move every row of a group to one task and sort it
-there. If one user (or, for curves, the whole table) holds a third of all rows, that task holds a third of the
-data. ``running_totals`` computes the same positions and inclusive running sums in two levels:
-
-1. Rows get a *block*: a bucket of a numeric key that never decreases along the sort order. Block edges are
-   approximate quantiles of that key, so every block holds about ``1/blocks`` of all rows, and a hot group is
-   spread over many blocks.
-2. Per (group, block) the row count and the sums are aggregated (map-side partial aggregation first). A window
-   over this compressed table gives each block its offset inside the group; without a group the table has at
-   most ``blocks`` rows, so it is broadcast (its size is bounded by construction).
-3. Rows join their block offset and a window *within* (group, block) adds the local position.
-
-The result equals the single-window formulation exactly; only the task sizes differ. Before choosing, one
-aggregation measures the largest group: if no group exceeds ``max_group_rows`` the plain window is used (every
-task is then bounded by that size), otherwise the blocked plan.
+``row_number() over (partition by g order by k)`` makes Spark move every row of a group to one task. If one user (or,
+for curves, the whole table) holds a third of all rows, that task holds a third of the data. ``running_totals`` has one
+plan, used at every size:
+
+1. The rows are range-partitioned by (group, order) and written once, with the number of their range partition. Ranges
+   follow the order, so a later partition holds later rows; a large group spans many partitions.
+2. Per (group, partition) the row count and the sums are aggregated; a window over that small table (at most one row per
+   group and partition it touches) gives each part its offset inside the group.
+3. Rows join their part's offset (null-safe) and a window *within* (group, partition) adds the local position.
+
+The result equals the single window for any key type, NULL groups and NULL order keys included.
 """
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-DEFAULT_BLOCKS = 1024
-MAX_GROUP_ROWS = 1_000_000  # largest group one window task may sort
-
 
-def largest_group(df: DataFrame, partition_by: Sequence[str]) -> int:
-    """Row count of the largest group (one partially aggregated job; returns one number)."""
-    if not partition_by:
-        return df.count()
-    row = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
-    return int(row["m"] or 0)
+from trolley.session import stage_dir
+from trolley.sources.io import materialize
 
 
-def quantile_splits(df: DataFrame, key: str, blocks: int) -> list[float]:
-    """Strictly increasing Bucketizer splits from approximate quantiles of ``key`` (one small driver list)."""
-    if blocks <= 1:
-        return [-math.inf, math.inf]
-    probs = [i / blocks for i in range(1, blocks)]
-    # Edges only balance the blocks; exactness is not needed (any non-decreasing blocking is correct).
-    qs = df.approxQuantile(key, probs, 1.0 / blocks)
-    inner = sorted({q for q in qs if q is not None and not math.isnan(q) and not math.isinf(q)})
-    return [-math.inf, *inner, math.inf]
+def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """``left.k <=> right.k`` for every key: an equi-join condition that keeps NULL keys."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
 def running_totals(
     df: DataFrame,
     order_by: Sequence[Column],
-    block_key: Column,
     partition_by: Sequence[str] = (),
     sums: Mapping[str, Column] | None = None,
     *,
-    blocks: int = DEFAULT_BLOCKS,
     rank_col: str = "rank",
     count_col: str = "group_rows",
-    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add the 1-based position along ``order_by`` within ``partition_by`` and inclusive running sums.
 
     ``order_by`` must order rows uniquely inside a group (ties would make positions arbitrary, exactly as with
-    ``row_number``). ``block_key`` is a non-null numeric expression that never decreases along ``order_by``;
-    it only decides the blocking, never the result. For each name in ``sums`` two columns are added: the
-    running sum ``name`` and the group total ``name_total``. ``count_col`` holds the group's row count.
+    ``row_number``). For each name in ``sums`` two columns are added: the running sum ``name`` and the group total
+    ``name_total``. ``count_col`` holds the group's row count. The range-partitioned rows are stored in the session's
+    shared folder when the frame is built.
     """
     part = list(partition_by)
     sums = dict(sums or {})
-    if max_group_rows is not None and largest_group(df, part) <= max_group_rows:
-        return _single_window(df, order_by, part, sums, rank_col, count_col)
-    work = df.withColumn("_rt_k", block_key.cast(T.DoubleType()))
-    for name, expr in sums.items():
-        work = work.withColumn(f"_rt_v_{name}", expr)
-
-    splits = quantile_splits(work, "_rt_k", blocks)
-    if len(splits) > 2:
-        work = Bucketizer(splits=splits, inputCol="_rt_k", outputCol="_rt_b", handleInvalid="error").transform(work)
-    else:
-        work = work.withColumn("_rt_b", F.lit(0.0))
-
-    grp = [*part, "_rt_b"]
-    block_tab = work.groupBy(*grp).agg(
-        F.count(F.lit(1)).alias("_rt_n"),
-        *[F.sum(f"_rt_v_{n}").alias(f"_rt_s_{n}") for n in sums],
+    work = df.select("*", *[expr.alias(f"_rt_v_{n}") for n, expr in sums.items()])
+    ranged = work.repartitionByRange(*[F.col(c) for c in part], *order_by)
+    ranged = ranged.withColumn("_rt_p", F.spark_partition_id())
+    stored = materialize(ranged, stage_dir(df.sparkSession, f"ordered-{uuid.uuid4().hex}"))
+
+    grp = [*part, "_rt_p"]
+    table = stored.groupBy(*grp).agg(
+        F.count(F.lit(1)).alias("_rt_n"), *[F.sum(f"_rt_v_{n}").alias(f"_rt_s_{n}") for n in sums]
     )
-    before = (Window.partitionBy(*part) if part else Window).orderBy("_rt_b").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    whole = Window.partitionBy(*part) if part else Window.partitionBy(F.lit(0))
-    block_tab = block_tab.select(
+    group = Window.partitionBy(*part) if part else Window.partitionBy()
+    before = group.orderBy("_rt_p").rowsBetween(Window.unboundedPreceding, -1)
+    table = table.select(
         *grp,
         F.coalesce(F.sum("_rt_n").over(before), F.lit(0)).alias("_rt_off"),
-        F.sum("_rt_n").over(whole).alias(count_col),
+        F.sum("_rt_n").over(group).alias(count_col),
         *[F.sum(f"_rt_s_{n}").over(before).alias(f"_rt_o_{n}") for n in sums],
-        *[F.sum(f"_rt_s_{n}").over(whole).alias(f"{n}_total") for n in sums],
+        *[F.sum(f"_rt_s_{n}").over(group).alias(f"{n}_total") for n in sums],
     )
-    if not part:
-        # At most ``blocks`` rows: one per quantile bucket.
-        block_tab = F.broadcast(block_tab)
 
     inner = Window.partitionBy(*grp).orderBy(*order_by)
     upto = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = work.join(block_tab, on=grp).select(
-        *df.columns,
-        (F.col("_rt_off") + F.row_number().over(inner)).alias(rank_col),
+    local = stored.select(
+        *stored.columns,
+        F.row_number().over(inner).alias("_rt_r"),
+        *[F.sum(f"_rt_v_{n}").over(upto).alias(f"_rt_c_{n}") for n in sums],
+    )
+    out = local.join(table, null_safe(local, table, grp))
+    return out.select(
+        *[local[c] for c in df.columns],
+        (F.col("_rt_off") + F.col("_rt_r")).alias(rank_col),
         F.col(count_col),
+        # A sum over NULLs only is NULL, as in the window; anything before or here counts from 0.
         *[
-            (F.coalesce(F.col(f"_rt_o_{n}"), F.lit(0)) + F.sum(f"_rt_v_{n}").over(upto)).alias(n)
+            F.when(F.col(f"_rt_o_{n}").isNull(), F.col(f"_rt_c_{n}"))
+            .otherwise(F.col(f"_rt_o_{n}") + F.coalesce(F.col(f"_rt_c_{n}"), F.lit(0)))
+            .alias(n)
             for n in sums
         ],
         *[F.col(f"{n}_total") for n in sums],
     )
-    return out
-
-
-def _single_window(
-    df: DataFrame,
-    order_by: Sequence[Column],
-    part: list[str],
-    sums: Mapping[str, Column],
-    rank_col: str,
-    count_col: str,
-) -> DataFrame:
-    """The plain window plan, used when every group is known to be small."""
-    w = (Window.partitionBy(*part) if part else Window).orderBy(*order_by)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*part) if part else Window.partitionBy(F.lit(0))
-    return df.select(
-        *df.columns,
-        F.row_number().over(w).cast("long").alias(rank_col),
-        F.count(F.lit(1)).over(whole).alias(count_col),
-        *[F.sum(expr).over(upto).alias(n) for n, expr in sums.items()],
-        *[F.sum(expr).over(whole).alias(f"{n}_total") for n, expr in sums.items()],
-    )
 
 
 def dense_rank_values(df: DataFrame, col_name: str, out: str) -> DataFrame:
-    """``dense_rank() over (order by col)`` as a (value, rank) table.
-
-    The distinct values are range-sorted by Spark and numbered with ``zipWithIndex`` (a per-partition count
-    job, then an offset per partition), so no single task sees all values.
-    """
-    vals = df.select(col_name).where(F.col(col_name).isNotNull()).distinct().orderBy(col_name)
-    indexed = vals.rdd.zipWithIndex().map(lambda t: (t[0][0], t[1] + 1))
-    schema = T.StructType([vals.schema[col_name], T.StructField(out, T.LongType(), False)])
-    return df.sparkSession.createDataFrame(indexed, schema)
+    """``dense_rank() over (order by col)`` as a (value, rank) table: positions of the distinct values."""
+    values = df.select(col_name).where(F.col(col_name).isNotNull()).distinct()
+    return running_totals(values, [F.col(col_name)], rank_col=out, count_col="_n").select(col_name, out)

@@ -7,24 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values of the key hash (also written out in the SQL oracle).
-HASH_MODULUS = 1000003
-HASH_MULTIPLIERS = (7919, 104729, 1299709)
-HASH_SLOTS = 1000
+# Fixed values of the key hash (also written out in the SQL oracle): the first 8 hex digits of an MD5.
+HASH_DIGITS = 8
+HASH_SLOTS = 1 << (4 * HASH_DIGITS)
 
 
 def key_slot(keys: Sequence[str], seed: int = 0) -> Column:
-    """A slot in [0, 1000) from integer keys: ``(sum(pmod(k_i, M) * m_i) + seed) pmod 1000``.
+    """A slot in [0, 2^32): the first 8 hex digits of ``md5(seed || ':' || k1 || ':' || k2 ...)``.
 
-    Depends only on the row's keys, so the split is the same on every run, partitioning and engine
-    (``randomSplit`` depends on the partition layout, S11).
+    Depends only on the row's keys and the seed, so the split is the same on every run, partitioning and engine
+    (``randomSplit`` depends on the partition layout, S11); the seed is hashed with the keys, so two seeds give
+    independent splits. A NULL key hashes like an empty text.
     """
-    if len(keys) > len(HASH_MULTIPLIERS):
-        raise ValueError(f"at most {len(HASH_MULTIPLIERS)} key columns")
-    acc = F.lit(seed).cast("long")
-    for k, m in zip(keys, HASH_MULTIPLIERS):
-        acc = acc + F.pmod(F.col(k).cast("long"), F.lit(HASH_MODULUS)) * m
-    return F.pmod(acc, F.lit(HASH_SLOTS)).cast("int")
+    parts = [F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]]
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, HASH_DIGITS), 16, 10).cast("long")
 
 
 def split(

@@ -31,10 +31,10 @@ class MartChain:
     def from_dir(cls, spark: SparkSession, sf_dir: str, *, store: bool = False) -> "MartChain":
         return cls(load_basket(spark, sf_dir), store=store, spark=spark)
 
-    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+    def _keep(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         if not self.store:
             return df
-        return materialize(df, stage_dir(self._spark, f"{self._tag}-{name}"))
+        return materialize(df, stage_dir(self._spark, f"{self._tag}-{name}"), partition_by=partition_by)
 
     @cached_property
     def opp(self) -> DataFrame:
@@ -50,7 +50,7 @@ class MartChain:
 
     @cached_property
     def up_features(self) -> DataFrame:
-        return marts.user_product_features(self.opp)
+        return self.up_base.select(*marts.UP_GROUP_COLUMNS)
 
     @cached_property
     def product_features(self) -> DataFrame:
@@ -78,7 +78,9 @@ class MartChain:
 
     @cached_property
     def data_mart(self) -> DataFrame:
-        return self._keep(marts.data_mart(self.up_base, self.user_mart, self.product_mart), "data_mart")
+        mart = marts.data_mart(self.up_base, self.user_mart, self.product_mart)
+        # Stored by eval_set: the train and the test set each read their folder.
+        return self._keep(mart, "data_mart", ("eval_set",)).select(*marts.DATA_MART_COLUMNS)
 
     @cached_property
     def train_lines(self) -> DataFrame:
@@ -91,7 +93,7 @@ class MartChain:
 
     @cached_property
     def train_set(self) -> DataFrame:
-        return marts.train_set(self.data_mart, self.train_lines, fill=True)
+        return self._keep(marts.train_set(self.data_mart, self.train_lines, fill=True), "train_set")
 
     @cached_property
     def test_set(self) -> DataFrame:

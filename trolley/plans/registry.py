@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector
@@ -13,23 +13,19 @@ from trolley.functions.scalar import ID_COLUMNS, REORDER_THRESHOLD, above, ratio
 from trolley.operators import audits, evaluate, results, splits
 
 from trolley.plans.chain import MartChain
-from trolley.sources.basket import load_basket
+from trolley.sources.basket import SOURCES, load_basket, source_digest, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _CHAINS: dict[tuple[str, str], MartChain] = {}
 
 
-def _tag(sf_dir: str) -> str:
-    import hashlib
-
-    return "chain-" + hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-
-
 def chain(spark: SparkSession, sf_dir: str) -> MartChain:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    """The mart chain of a data folder: built once per application and state of the source files."""
+    digest = source_digest(spark, [table_path(sf_dir, n) for n in SOURCES])
+    key = (spark.sparkContext.applicationId, f"{sf_dir}:{digest}")
     if key not in _CHAINS:
-        _CHAINS[key] = MartChain(load_basket(spark, sf_dir), spark=spark, store=True, tag=_tag(sf_dir))
+        _CHAINS[key] = MartChain(load_basket(spark, sf_dir), spark=spark, store=True, tag=f"chain-{digest}")
     return _CHAINS[key]
 
 
@@ -86,6 +82,7 @@ def scored_test(c: MartChain) -> DataFrame:
 
 DESCRIBE_COLUMNS = ["up_cnt", "usr_total_cnt", "prd_total_cnt", "days_since_prior_order", "reordered"]
 ROC_SAMPLE_STEP = 2
+VALIDATION_SEED = 2022  # not the split's seed (2021): the flag is drawn inside a part of that split
 
 
 def audit_queries() -> dict[str, Query]:
@@ -146,7 +143,7 @@ def io_queries() -> dict[str, Query]:
         return s.sql(USER_FEATURES_SQL)
 
     def submission_csv(s, d):
-        path = stage_dir(s, "submission-csv-" + _tag(d))
+        path = stage_dir(s, f"submission-csv-{uuid.uuid4().hex}")
         io.write_submission(results.submission(scored_test(chain(s, d))), path)
         return io.read_csv(s, path, io.SUBMISSION_SCHEMA)
 
@@ -195,7 +192,7 @@ def split_queries() -> dict[str, Query]:
 
     def validation_flag(s, d):
         ts = chain(s, d).train_set
-        return splits.with_validation_flag(ts, 0.2, seed=2021, keys=keys).select(*keys, "isVal")
+        return splits.with_validation_flag(ts, 0.2, seed=VALIDATION_SEED, keys=keys).select(*keys, "isVal")
 
     return {"key_split": key_split, "validation_flag": validation_flag}
 
@@ -209,7 +206,7 @@ def model_queries() -> dict[str, Query]:
         return modeling.prepare_binary(chain(s, d).train_set)
 
     def multi(s, d):
-        return modeling.prepare_multiclass(s.read.parquet(os.path.join(d, "embeddings.parquet")))
+        return modeling.prepare_multiclass(s.read.parquet(table_path(d, "embeddings")))
 
     def tree_predict(s, d):
         p = multi(s, d)
@@ -228,7 +225,7 @@ def model_queries() -> dict[str, Query]:
 
     def gbt_early_stop(s, d):
         p = binary(s, d)
-        flagged = splits.with_validation_flag(p.train, 0.2, seed=2021, keys=["user_id", "product_id"])
+        flagged = splits.with_validation_flag(p.train, 0.2, seed=VALIDATION_SEED, keys=["user_id", "product_id"])
         m = models.fit_gbt(
             flagged, n_estimators=100, learning_rate=0.1, max_depth=3, validationIndicatorCol="isVal"
         )
@@ -275,7 +272,7 @@ def model_queries() -> dict[str, Query]:
         return tuning.tuning_results(cv.fit(p.train), s)
 
     def cv_chain(s, d):
-        emb = s.read.parquet(os.path.join(d, "embeddings.parquet"))
+        emb = s.read.parquet(table_path(d, "embeddings"))
         cols = [f"e{i}" for i in range(64)]
         wide = emb.select("vec_id", F.col("label").cast("double").alias("label"), *[F.col("embedding")[i].alias(c) for i, c in enumerate(cols)])
         tr, te = splits.split(wide, [0.7, 0.3], seed=0, keys=["vec_id"])
@@ -286,7 +283,7 @@ def model_queries() -> dict[str, Query]:
         return tuning.tuning_results(model, s)
 
     def cv_stage(s, d):
-        emb = s.read.parquet(os.path.join(d, "embeddings.parquet"))
+        emb = s.read.parquet(table_path(d, "embeddings"))
         cols = [f"e{i}" for i in range(64)]
         wide = emb.select("vec_id", F.col("label").cast("double").alias("label"), *[F.col("embedding")[i].alias(c) for i, c in enumerate(cols)])
         tr, te = splits.split(wide, [0.7, 0.3], seed=0, keys=["vec_id"])

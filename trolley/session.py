@@ -37,12 +37,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is. Only when it is unset
-    (local tests) is a fresh folder under the system temp directory chosen.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is. Where it is unset, a folder under the
+    system temp directory is made for a local master; on a cluster each executor would write its part to its own
+    disk there, so that is an error.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = sc.master or ""
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
         path = tempfile.mkdtemp(prefix="trolley-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", path)

@@ -26,7 +26,7 @@ Order positions use ``running_totals`` so a user with a huge number of orders is
 from __future__ import annotations
 
 import hashlib
-import os
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,9 +42,6 @@ TEST_USER_MODULUS = 3  # last order of a user with user_id % 3 = 0 is a test ord
 HOURS_PER_DAY = 24  # order_hour_of_day = order_id % 24
 AISLE_FACTOR = 100  # product_id = aisle_id * 100 + department_id
 
-_TWO_40 = float(2**40)
-_TWO_32 = float(2**32)
-
 
 @dataclass
 class Basket:
@@ -64,23 +61,22 @@ def basket_orders(orders: DataFrame) -> DataFrame:
         F.col("o_custkey").alias("user_id"),
         F.to_date("o_orderdate").alias("order_date"),
     )
-    # The block key follows (order_date, order_id): days * 2^40 + id grows along that order for ids < 2^40.
     ranked = running_totals(
         o,
         order_by=[F.col("order_date"), F.col("order_id")],
-        block_key=F.unix_date("order_date").cast("double") * _TWO_40 + F.col("order_id").cast("double"),
         partition_by=["user_id"],
         rank_col="order_number",
         count_col="n_orders",
     )
-    # Previous order of the same user: an equi-join on (user_id, order_number - 1); keys are unique per row,
-    # so a user with many orders does not skew it.
+    # Previous order of the same user: a null-safe equi-join on (user_id, order_number - 1); keys are unique per
+    # row, so a user with many orders does not skew it.
     prev = ranked.select(
-        "user_id",
-        (F.col("order_number") + 1).alias("order_number"),
+        F.col("user_id").alias("_prev_user"),
+        (F.col("order_number") + 1).alias("_prev_number"),
         F.col("order_date").alias("prev_date"),
     )
-    with_prev = ranked.join(prev, on=["user_id", "order_number"], how="left")
+    same = F.col("user_id").eqNullSafe(F.col("_prev_user")) & (F.col("order_number") == F.col("_prev_number"))
+    with_prev = ranked.join(prev, same, "left")
     return with_prev.select(
         "order_id",
         "user_id",
@@ -125,7 +121,6 @@ def line_context(lineitem: DataFrame, pmap: DataFrame, b_orders: DataFrame) -> D
     carted = running_totals(
         lines,
         order_by=[F.col("first_line"), F.col("product_id")],
-        block_key=F.col("first_line").cast("double") * _TWO_32 + F.col("product_id").cast("double"),
         partition_by=["order_id"],
         rank_col="add_to_cart_order",
         count_col="order_lines",
@@ -188,33 +183,47 @@ def basket_from_star(orders: DataFrame, lineitem: DataFrame, part: DataFrame) ->
     return basket_tables(b_orders, pmap, basket_lines(lineitem, pmap, b_orders))
 
 
-_MEMO: dict[tuple[str, str], Basket] = {}
+_MEMO: dict[tuple[str, str, str], Basket] = {}
+SOURCES = ("orders", "lineitem", "part")
+
+
+def source_digest(spark: SparkSession, paths: Sequence[str]) -> str:
+    """A digest of the files below the paths: names, sizes and times, asked of their Hadoop file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    parts = []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        todo = [fs.getFileStatus(path)]
+        while todo:
+            st = todo.pop()
+            if st.isDirectory():
+                todo.extend(fs.listStatus(st.getPath()))
+            else:
+                parts.append(f"{st.getPath()}:{st.getLen()}:{st.getModificationTime()}")
+    return hashlib.sha1("|".join(sorted(parts)).encode()).hexdigest()[:16]
 
 
-def _digest(sf_dir: str) -> str:
-    parts = [os.path.abspath(sf_dir)]
-    for name in ("orders", "lineitem", "part"):
-        p = os.path.join(sf_dir, f"{name}.parquet")
-        if os.path.exists(p):
-            st = os.stat(p)
-            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
-    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
 def load_basket(spark: SparkSession, sf_dir: str, *, stored: bool = True) -> Basket:
     """Basket tables for the star tables in ``sf_dir``.
 
-    With ``stored`` (default) each table is derived once per application and written as Parquet below the
-    session's checkpoint folder, like the reference stores every stage as a table; later queries read the
-    stored files with column pruning and filter pushdown, and lost executors only re-read files.
+    With ``stored`` (default) each table is derived once per application and state of the source files, and written
+    as Parquet below the session's checkpoint folder, like the reference stores every stage as a table; later
+    queries read the stored files with column pruning and filter pushdown, and lost executors only re-read files.
     """
-    src = {n: read_table(spark, os.path.join(sf_dir, f"{n}.parquet")) for n in ("orders", "lineitem", "part")}
+    paths = {n: table_path(sf_dir, n) for n in SOURCES}
+    src = {n: read_table(spark, p) for n, p in paths.items()}
     if not stored:
         return basket_from_star(src["orders"], src["lineitem"], src["part"])
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    digest = source_digest(spark, list(paths.values()))
+    key = (spark.sparkContext.applicationId, sf_dir, digest)
     if key in _MEMO:
         return _MEMO[key]
-    base = stage_dir(spark, f"basket-{_digest(sf_dir)}")
+    base = stage_dir(spark, f"basket-{digest}")
     b_orders = materialize(basket_orders(src["orders"]), f"{base}/orders")
     pmap = materialize(product_map(src["part"]), f"{base}/product_map")
     # The line context feeds both the first-purchase aggregate and its join: store it once instead of
