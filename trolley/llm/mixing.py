@@ -191,18 +191,18 @@ def mixed_documents(docs: DataFrame, *, stored: bool = False, **options) -> Data
     is written first.
     """
     cols = docs.columns
-    rows = (docs if stored else store(docs, "mix-input")).withColumn("_row", F.monotonically_increasing_id())
+    rows = (docs if stored else store(docs, "mix-input")).withColumn("__row__", F.monotonically_increasing_id())
     sized = rows.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.col("_row").alias("row"),
+        F.col("__row__").alias("row"),
     )
     o = {"share": 1.5, "weights": (3, 1, 2), "max_repeat": 2, "seed": 2025} | options
     got = take(store(sized, "mix-sizes"), **o)
     u = F.pmod(F.xxhash64(F.lit(o["seed"] + 2), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     copies = got.where(F.col("taken") > 0).select(
-        F.col("row").alias("_row"), F.floor(F.col("taken") / F.col("size") + u).cast("int").alias("_n")
+        F.col("row").alias("__row__"), F.floor(F.col("taken") / F.col("size") + u).cast("int").alias("__copies__")
     )
-    out = rows.join(copies.where("_n > 0"), "_row")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*cols)
+    out = rows.join(copies.where("__copies__ > 0"), "__row__")
+    return out.withColumn("__copy__", F.explode(F.sequence(F.lit(1), F.col("__copies__")))).select(*cols)

@@ -344,6 +344,6 @@ def first_documents(docs: DataFrame, *, stored: bool = False) -> DataFrame:
     anything else is written first.
     """
     rows = docs if stored else store(docs, "dedup-input")
-    keep = near_dedup(rows).where("first").select(F.col("row").alias("_row"))
-    numbered = rows.withColumn("_row", F.monotonically_increasing_id())
-    return numbered.join(keep, "_row", "left_semi").select(*docs.columns)
+    keep = near_dedup(rows).where("first").select(F.col("row").alias("__row__"))
+    numbered = rows.withColumn("__row__", F.monotonically_increasing_id())
+    return numbered.join(keep, "__row__", "left_semi").select(*docs.columns)
