@@ -1,8 +1,8 @@
 """Token-ID output as Arrow IPC files of fixed-size lists, and reading them back.
 
 Every range partition of the documents (ascending doc_id) becomes one *shard*: an Arrow IPC file whose record
-batches hold two fixed-size-list columns of ``seq_len`` items, ``ids`` (uint32) and ``mask`` (uint8, 1 for an id,
-0 for padding at the shard's end). All batches but the last have ``batch_rows`` sequences, so sequence ``i`` is row
+batches hold two fixed-size-list columns of ``seq_len`` items, ``ids`` (uint16 where the vocabulary fits into it, else
+uint32) and ``mask`` (boolean, one bit each: true for an id, false for padding at the shard's end). All batches but the last have ``batch_rows`` sequences, so sequence ``i`` is row
 ``i % batch_rows`` of batch ``i // batch_rows`` and id ``j`` of the shard is item ``j % seq_len`` of sequence
 ``j // seq_len``: random access is arithmetic, and on a memory map no byte is copied.
 
@@ -46,14 +46,15 @@ def filesystem(uri: str):
 class ShardWriter:
     """Appends ids to one Arrow IPC file; holds at most one batch of sequences."""
 
-    def __init__(self, folder: str, name: str, seq_len: int, batch_rows: int):
+    def __init__(self, folder: str, name: str, seq_len: int, batch_rows: int, dtype: str = "<u4"):
         self.fs, base = filesystem(folder)
         self.fs.create_dir(base, recursive=True)
         self.path = f"{folder.rstrip('/')}/{name}"
         self.seq_len, self.batch_rows = seq_len, batch_rows
-        self.schema = pa.schema(
-            [("ids", pa.list_(pa.uint32(), seq_len)), ("mask", pa.list_(pa.uint8(), seq_len))]
-        )
+        self.dtype = np.dtype(dtype)
+        self.item = self.dtype.itemsize
+        self.kind = pa.from_numpy_dtype(self.dtype)
+        self.schema = pa.schema([("ids", pa.list_(self.kind, seq_len)), ("mask", pa.list_(pa.bool_(), seq_len))])
         self.out = self.fs.open_output_stream(f"{base.rstrip('/')}/{name}")
         self.writer = pa.ipc.new_file(self.out, self.schema)
         self.parts: list[bytes] = []
@@ -61,36 +62,37 @@ class ShardWriter:
         self.n = 0  # ids so far
 
     def append(self, ids: bytes) -> int:
-        start = self.n
+        """Add ids given in the file's type; returns the place of the first one."""
+        start, unit = self.n, self.item * self.seq_len * self.batch_rows
+        self.n += len(ids) // self.item
         self.parts.append(ids)
         self.held += len(ids)
-        self.n += len(ids) // 4
-        if self.held >= 4 * self.seq_len * self.batch_rows:
-            self._flush(4 * self.seq_len * self.batch_rows)
+        if self.held >= unit:
+            self._flush(unit)
         return start
 
     def _flush(self, unit: int) -> None:
         data = b"".join(self.parts)
         whole = len(data) // unit * unit
         for at in range(0, whole, unit):
-            self._write(np.frombuffer(data, "<u4", unit // 4, at), unit // 4)
+            n = unit // self.item
+            self._write(np.frombuffer(data, self.dtype, n, at), n)
         self.parts, self.held = [data[whole:]], len(data) - whole
 
     def _write(self, ids: np.ndarray, real: int) -> None:
-        mask = np.zeros(len(ids), np.uint8)
-        mask[:real] = 1
+        mask = pa.array(np.arange(len(ids)) < real)
         cols = [
-            pa.FixedSizeListArray.from_arrays(pa.array(ids, pa.uint32()), self.seq_len),
-            pa.FixedSizeListArray.from_arrays(pa.array(mask), self.seq_len),
+            pa.FixedSizeListArray.from_arrays(pa.array(ids, self.kind), self.seq_len),
+            pa.FixedSizeListArray.from_arrays(mask, self.seq_len),
         ]
         self.writer.write_batch(pa.record_batch(cols, schema=self.schema))
 
     def close(self) -> None:
         if self.held:
-            self._flush(4 * self.seq_len * self.batch_rows)
-            rest = np.frombuffer(b"".join(self.parts), "<u4")
+            self._flush(self.item * self.seq_len * self.batch_rows)
+            rest = np.frombuffer(b"".join(self.parts), self.dtype)
             if len(rest):
-                padded = np.zeros(-(-len(rest) // self.seq_len) * self.seq_len, "<u4")
+                padded = np.zeros(-(-len(rest) // self.seq_len) * self.seq_len, self.dtype)
                 padded[: len(rest)] = rest
                 self._write(padded, len(rest))
         self.writer.close()
@@ -115,11 +117,11 @@ class ShardReader:
         return col.flatten().to_numpy(zero_copy_only=True)
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, mask) of sequence ``i``; views into the file where it is mapped."""
+        """(ids, mask) of sequence ``i``: a view into the file where it is mapped, and an Arrow boolean array."""
         b = self.file.get_batch(i // self.batch_rows)
         r, n = i % self.batch_rows, self.seq_len
-        ids, mask = (b.column(c).flatten().to_numpy(zero_copy_only=True) for c in (0, 1))
-        return ids[r * n : (r + 1) * n], mask[r * n : (r + 1) * n]
+        ids = b.column(0).flatten().to_numpy(zero_copy_only=True)
+        return ids[r * n : (r + 1) * n], b.column(1).flatten().slice(r * n, n)
 
     def slice(self, start: int, n: int) -> Iterator[np.ndarray]:
         """Ids [start, start + n) of the shard, as views, batch by batch."""
@@ -142,7 +144,6 @@ def write_tokens(
     """Write the shards and the index below ``folder``; returns the stored index (INDEX_SCHEMA)."""
     spark = docs.sparkSession
     ship_package(spark)
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         ctx = TaskContext.get()
@@ -150,14 +151,15 @@ def write_tokens(
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
             enc = encoder(tokenizer)
+            end = enc.pack(end_id)
             writer = writer or ShardWriter(
-                f"{folder}/shards", f"shard-{shard:06d}-{ctx.taskAttemptId()}.arrow", seq_len, batch_rows
+                f"{folder}/shards", f"shard-{shard:06d}-{ctx.taskAttemptId()}.arrow", seq_len, batch_rows, enc.dtype
             )
             at, n = [], []
             for t in texts:
                 ids = enc.encode(t or "") + end
                 at.append(writer.append(ids))
-                n.append(len(ids) // 4)
+                n.append(len(ids) // writer.item)
             rows = len(n)
             yield pa.RecordBatch.from_arrays(
                 [keys, pa.array([shard] * rows, pa.int32()), pa.array([writer.path] * rows),

@@ -7,7 +7,8 @@ ids are joined. The result is the library's result for the whole text:
 * byte-level BPE: chunks are "white space, then non-white space" (``\\s*\\S+``), the pre-tokenizer's own
   boundaries lie inside or at the ends of these;
 * BPE with word ends: white space is dropped, so chunks are the runs between ASCII white space. NFC and the
-  per-character lower-casing never look across white space.
+  per-character lower-casing never look across white space. A-Z are lower-cased beforehand, so that a chunk is kept
+  once; not in texts with combining marks, where composition may depend on the letter's case.
 
 Python's ``\\s`` also holds U+001C to U+001F, which the tokenizer takes for symbols: such a text is encoded
 whole. Strings of special tokens inside a text are ordinary text.
@@ -17,14 +18,16 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Callable
 
 import numpy as np
 
 BYTE_CHUNKS = re.compile(r"\s*\S+|\s+")
 WORD_CHUNKS = re.compile(r"[^ \t-\r]+")
+_MARKS = re.compile("[\u0300-\u036f]")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
-MEMO_ENTRIES = 150_000  # per generation; two generations live at a time
+MEMO_ENTRIES = 500_000  # per generation; two generations live at a time (about 200 MB a Python worker)
 LONGEST_KEPT = 64  # characters of a chunk that is worth keeping
 
 
@@ -57,22 +60,32 @@ class Encoder:
         self.tok.encode_special_tokens = True
         word_ends = getattr(self.tok.model, "end_of_word_suffix", None)
         self.chunks = WORD_CHUNKS if word_ends else BYTE_CHUNKS
+        self.lower = bool(word_ends)  # such a vocabulary's normaliser lower-cases
+        #: The narrowest type that holds every id of the vocabulary.
+        self.dtype = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
+        self.code = "H" if self.dtype == "<u2" else "I"
         self.ids_memo = Memo(self._ids)
         self.span_memo = Memo(self._starts)
 
     def _ids(self, chunk: str) -> bytes:
-        return np.asarray(self.tok.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return array(self.code, self.tok.encode(chunk, add_special_tokens=False).ids).tobytes()
 
     def _starts(self, chunk: str) -> bytes:
         spans = self.tok.encode(chunk, add_special_tokens=False).offsets
         return np.asarray(spans, dtype="<i4").reshape(-1, 2).tobytes()
 
     def encode(self, text: str) -> bytes:
-        """The ids of a whole text as little-endian unsigned 32-bit integers."""
+        """The ids of a whole text, little-endian, in the vocabulary's narrowest type (``dtype``)."""
         if _ODD_SPACE.search(text):
             return self._ids(text)
+        if self.lower and not _MARKS.search(text):
+            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # A-Z alone
         return b"".join(map(self.ids_memo.__getitem__, self.chunks.findall(text)))
 
+    def pack(self, *ids: int) -> bytes:
+        """Single ids in the same form."""
+        return np.array(ids, self.dtype).tobytes()
+
     def spans(self, text: str) -> np.ndarray:
         """(n, 2) character spans [start, end) of a whole text's tokens, in order."""
         if _ODD_SPACE.search(text):
@@ -97,6 +110,11 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def widen(ids: bytes, dtype: str) -> bytes:
+    """Ids in a narrow type as little-endian unsigned 32-bit integers."""
+    return ids if dtype == "<u4" else np.frombuffer(ids, dtype).astype("<u4").tobytes()
+
+
 def vocabulary(name: str) -> str:
     """Path of one of the installed public vocabulary files."""
     import public_tokenizers
