@@ -10,7 +10,8 @@
 3. *Dense nodes*, still larger after the last level, hold texts that are nearly all alike. Listing their pairs would
    grow with the square of the group. They are linked through pivots: the member closest to the node's consensus and
    a few others are compared with all members (linear work), classes are merged, and what is left are the pairs
-   between different classes. Those are compared exhaustively in blocks of signatures. Nothing is capped.
+   between different classes. Those are compared exhaustively, on full sets, inside block tasks that give back only
+   links that join two classes; a pair that meets in several trees is compared in the first one. Nothing is capped.
 4. *Links* are confirmed on the full sets: 100 * intersection >= 85 * union. Connected components come from minimum
    labels with pointer jumping; links and labels stay in Spark.
 
@@ -42,7 +43,8 @@ MIN_AGREE = 38
 PIVOT_ROUNDS = 3
 PIVOTS = 3  # besides the consensus member
 SAMPLE = 64  # members that make a node's consensus
-BLOCK = 512
+BLOCK = 2048
+TILE = 256  # members a side whose sets are compared at a time inside a block task
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -181,7 +183,7 @@ def _pairs_inside(groups: DataFrame) -> DataFrame:
 
 
 def _branch(reps: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
-    """Candidate pairs of the small nodes by level, and the members (node, rep) of the dense nodes."""
+    """Candidate pairs of the small nodes by level, and the members (node, rep, t) of the dense nodes."""
     trees = F.explode(
         F.transform(
             F.sequence(F.lit(0), F.lit(TREES - 1)),
@@ -189,7 +191,7 @@ def _branch(reps: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
         )
     )
     nodes = reps.select("rep", trees.alias("x")).select(
-        "rep", "x.path", F.xxhash64("x.t", F.get("x.path", 0)).alias("node")
+        "rep", "x.t", "x.path", F.xxhash64("x.t", F.get("x.path", 0)).alias("node")
     )
     found = []
     for level in range(1, LEVELS + 1):
@@ -201,8 +203,8 @@ def _branch(reps: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
         if not large.limit(1).count():
             return found, None
         if level == LEVELS:
-            return found, store(large.select("node", "rep"), "dedup-dense")
-        nodes = large.select("rep", "path", F.xxhash64("node", F.get("path", level)).alias("node"))
+            return found, store(large.select("node", "rep", "t"), "dedup-dense")
+        nodes = large.select("rep", "t", "path", F.xxhash64("node", F.get("path", level)).alias("node"))
     return found, None
 
 
@@ -236,29 +238,71 @@ def _open_nodes(members: DataFrame) -> DataFrame:
     return members.join(many.where("k > 1").select("node"), "node", "left_semi")
 
 
-def _block_pairs(members: DataFrame, reps: DataFrame) -> DataFrame:
-    """Likely pairs of different classes inside nodes, from all pairs of blocks of about BLOCK members."""
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of every left with every right set, as a product of incidence matrices."""
+    both = [*left, *right]
+    _, at = np.unique(np.concatenate(both), return_inverse=True)
+    rows = np.repeat(np.arange(len(both)), [len(x) for x in both])
+    m = np.zeros((len(both), int(at.max()) + 1), np.float32)
+    m[rows, at] = 1
+    return np.rint(m[: len(left)] @ m[len(left) :].T).astype(np.int64)
+
+
+def _block_links(members: DataFrame, dense: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links that join classes inside nodes, from all pairs of blocks of about BLOCK members."""
     size = members.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    m = members.join(size, "node").join(reps.select("rep", "n", "tokens"), "rep")
+    where = dense.groupBy("rep").agg(F.collect_list(F.struct("t", "node")).alias("nodes"))  # one a tree
+    m = members.join(dense.select("node", F.col("t")).distinct(), "node").join(size, "node")
+    m = m.join(where, "rep").join(reps.select("rep", "n", "tokens"), "rep").join(sets, "rep")
     m = m.withColumn("block", F.pmod(F.xxhash64(F.lit(9), "rep"), F.col("blocks")).cast("int"))
     # A member goes to every pair of blocks that holds its own block.
     m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     m = m.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        tok = np.array(pdf["tokens"].tolist(), np.int32)
-        rep, cls = pdf["rep"].to_numpy(), pdf["cls"].to_numpy()
-        n, block = pdf["n"].to_numpy(), pdf["block"].to_numpy()
-        a, b = [], []
-        for i in range(len(rep)):
-            agree = (tok[i] == tok).sum(axis=1)
-            ok = (agree >= MIN_AGREE) & (cls != cls[i]) & (rep > rep[i])
-            ok &= 100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i])
-            if pdf["lo"].iloc[0] != pdf["hi"].iloc[0]:
-                ok &= block != block[i]
-            a += [rep[i]] * int(ok.sum())
-            b += rep[ok].tolist()
-        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+        k = len(pdf)
+        tok, n = np.array(pdf["tokens"].tolist(), np.int32), pdf["n"].to_numpy(np.int64)
+        rep, cls, block = (pdf[c].to_numpy() for c in ("rep", "cls", "block"))
+        tree, two = int(pdf["t"].iloc[0]), pdf["lo"].iloc[0] != pdf["hi"].iloc[0]
+        path = np.repeat(-np.arange(1, k + 1, dtype=np.int64)[:, None], TREES, axis=1)
+        for i, nodes in enumerate(pdf["nodes"]):
+            for x in nodes:
+                path[i, x["t"]] = x["node"]
+        own = [np.asarray(x, np.int64) for x in pdf["set"]]
+        root = {c: c for c in cls.tolist()}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        out: list[tuple[int, int]] = []
+        for x in range(0, k, TILE):
+            for y in range(x, k, TILE):
+                i, j = np.arange(x, min(k, x + TILE)), np.arange(y, min(k, y + TILE))
+                ok = (cls[i][:, None] != cls[j]) & (i[:, None] < j)
+                ok &= 100 * np.minimum(n[i][:, None], n[j]) >= PERCENT * np.maximum(n[i][:, None], n[j])
+                if two:
+                    ok &= block[i][:, None] != block[j]
+                for c in range(tree):
+                    ok &= path[i, c][:, None] != path[j, c]
+                if not ok.any():
+                    continue
+                agree = np.zeros(ok.shape, np.int16)
+                for c in range(TOKENS):
+                    agree += tok[i, c][:, None] == tok[j, c]
+                ok &= agree >= MIN_AGREE
+                if not ok.any():
+                    continue
+                both = _overlaps([own[v] for v in i], [own[v] for v in j])
+                ok &= 100 * both >= PERCENT * (n[i][:, None] + n[j] - both)
+                for p, q in np.argwhere(ok).tolist():
+                    a, b = find(int(cls[i[p]])), find(int(cls[j[q]]))
+                    if a != b:
+                        root[a] = b
+                        out.append((int(min(rep[i[p]], rep[j[q]])), int(max(rep[i[p]], rep[j[q]]))))
+        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
     return m.groupBy("node", "lo", "hi").applyInPandas(compare, "a long, b long")
 
@@ -298,7 +342,7 @@ def near_links(docs: DataFrame, reps: DataFrame) -> DataFrame | None:
         label = components(links)
     left = store(_open_nodes(_with_class(dense, label)), "dedup-open")
     if left.limit(1).count():
-        more = _confirm(_block_pairs(left, reps).distinct(), sets)
+        more = _block_links(left, dense, reps, sets)
         label = components(store(links.union(more), "dedup-confirmed"))
     return label
 
