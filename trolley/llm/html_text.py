@@ -395,11 +395,20 @@ def training_rows(pages: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return np.vstack(xs), np.concatenate(ys), w / w.mean()
 
 
-#: Where no page of the sample marks its main part, the trees learn from this one in the built layouts.
-PLAIN_PAGE = "<article><h1>A heading of some words</h1>" + "".join(
-    f"<p>A paragraph of main text, number {i}. It has a few sentences, commas, and more than a line of words.</p>"
-    for i in range(8)
-) + "</article>"
+def plain_pages(n: int = 60, seed: int = 5) -> list[str]:
+    """Main parts of made-up words; the trees learn from them in the built layouts where no page marks its own."""
+    rng = np.random.default_rng(seed)
+
+    def text(words: int) -> str:
+        w = ["".join(rng.choice(list("aeilnorst"), rng.integers(2, 9))) for _ in range(words)]
+        return " ".join(x + rng.choice(["", "", "", "", ",", "."]) for x in w).capitalize() + "."
+
+    return [
+        f"<article><h1>{text(int(rng.integers(3, 12)))}</h1>"
+        + "".join(f"<p>{text(int(rng.integers(5, 90)))}</p>" for _ in range(int(rng.integers(1, 9))))
+        + "</article>"
+        for _ in range(n)
+    ]
 
 
 def fit(pages: DataFrame, n: int = SAMPLE_PAGES) -> Trees:
@@ -408,7 +417,7 @@ def fit(pages: DataFrame, n: int = SAMPLE_PAGES) -> Trees:
     one_blas_thread()
     x, y, w = training_rows([r["html"] for r in rows])
     if not len(y) or y.min() == y.max():
-        x, y, w = training_rows([PLAIN_PAGE, PLAIN_PAGE])
+        x, y, w = training_rows(plain_pages())
     return boost(x, y, w)
 
 

@@ -47,14 +47,15 @@ def _mix(h: np.ndarray, salt: int) -> np.ndarray:
     return 1 + ((h >> np.uint64(32)) % np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
-def _chars(b: np.ndarray) -> list[np.ndarray]:
-    w = b.astype(np.uint64)
+def _chars(b: np.ndarray, at: int) -> list[np.ndarray]:
+    """The 3- and 4-grams that begin in the chunk at ``at``."""
+    w = b[at : at + CHUNK + 3].astype(np.uint64)
     out = []
     if len(w) >= 3:
         g = w[:-2] | w[1:-1] << np.uint64(8) | w[2:] << np.uint64(16)
-        out.append(_mix(g, 3))
+        out.append(_mix(g[:CHUNK], 3))
         if len(w) >= 4:
-            out.append(_mix(g[:-1] | w[3:] << np.uint64(24), 4))
+            out.append(_mix((g[:-1] | w[3:] << np.uint64(24))[:CHUNK], 4))
     return out
 
 
@@ -79,7 +80,7 @@ def groups(text: str) -> list[np.ndarray]:
     """The buckets of a text's features by group (characters, words, pairs); groups without any are left out."""
     b = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
     out = []
-    chars = [g for at in range(0, max(1, len(b)), CHUNK) for g in _chars(b[at : at + CHUNK + 3])]
+    chars = [g for at in range(0, max(1, len(b)), CHUNK) for g in _chars(b, at)]
     if chars:
         out.append(np.concatenate(chars))
     w = _words(b)
