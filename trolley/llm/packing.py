@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trolley.llm.common import one_blas_thread, ship_package, store
-from trolley.llm.tokens import encoder
+from trolley.llm.tokens import encoder, widen
 
 CAP = 1024
 END_ID = 0
@@ -227,28 +227,35 @@ PIECE_SCHEMA = (
 )
 
 
+def wide(ids: bytes, dtype: str, start: int, n: int) -> bytes:
+    """Ids [start, start + n) of a narrow row as uint32."""
+    size = np.dtype(dtype).itemsize
+    return np.frombuffer(ids, dtype, n, start * size).astype("<u4").tobytes()
+
+
 def tokenise(docs: DataFrame, tokenizer: str, end_id: int, cap: int, keep_ids: bool) -> DataFrame:
     """The stored stage: a row per document with its full pieces' checksums and its remainder.
 
     ``full_before`` and ``rem_rank`` count inside the shard (the scan partition).
     """
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         shard, fulls, ranks = TaskContext.get().partitionId(), 0, [0] * cap
         for b in batches:
             enc = encoder(tokenizer)
+            end, size = enc.pack(end_id), np.dtype(enc.dtype).itemsize
             cols = {f: [] for f in ("n", "before", "crc", "len", "rank", "rem", "ids")}
             for t in b.column(1).to_pylist():
                 ids = enc.encode(t or "") + end
-                n = len(ids) // 4
+                n = len(ids) // size
                 k, r = divmod(n, cap)
+                full = widen(ids[: size * cap * k], enc.dtype)
                 cols["n"].append(n)
                 cols["before"].append(fulls)
-                cols["crc"].append([zlib.crc32(ids[4 * cap * i : 4 * cap * (i + 1)]) for i in range(k)])
+                cols["crc"].append([zlib.crc32(full[4 * cap * i : 4 * cap * (i + 1)]) for i in range(k)])
                 cols["len"].append(r)
                 cols["rank"].append(ranks[r])
-                cols["rem"].append(ids[4 * cap * k :])
+                cols["rem"].append(ids[size * cap * k :])
                 cols["ids"].append(ids if keep_ids else None)
                 fulls += k
                 ranks[r] += 1
@@ -286,6 +293,7 @@ def pack(
     full_total = plan.pattern_sequences + plan.line_tokens // cap + len(line_cuts(plan))
 
     def pieces(batches):
+        dtype = encoder(tokenizer).dtype
         for b in batches:
             out = [[] for _ in range(8)]
             for r in b.to_pylist():
@@ -296,9 +304,9 @@ def pack(
                 if r["rem_len"]:
                     at = len(rows) * cap
                     for s, n, seq, off in place_remainder(plan, r["rem_len"], r["rank_before"] + r["rem_rank"]):
-                        rows.append((at + s, n, zlib.crc32(r["rem_ids"][4 * s : 4 * (s + n)]), seq, off))
+                        rows.append((at + s, n, zlib.crc32(wide(r["rem_ids"], dtype, s, n)), seq, off))
                 for s, n, crc, seq, off in rows:
-                    ids = r["ids"][4 * s : 4 * (s + n)] if r["ids"] is not None else None
+                    ids = wide(r["ids"], dtype, s, n) if r["ids"] is not None else None
                     for c, v in zip(out, (r["doc_id"], s, n, crc, r["doc_tokens"], seq, off, ids)):
                         c.append(v)
             yield pa.RecordBatch.from_arrays(
