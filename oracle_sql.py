@@ -339,6 +339,132 @@ def audit_queries() -> dict[str, str]:
     }
 
 
+def more_audits() -> dict[str, str]:
+    undefined = ["up_usr_reord_ratio", "up_avg_prior_days", "up_max_prior_days", "up_min_prior_days", "usr_avg_prior_days", "reordered"]
+    cols = [*ID_COLUMNS, *MODEL_FEATURES, "reordered"]
+    described = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST(count({c}) AS DOUBLE) AS cnt, round(avg({c}), 6) AS mean, "
+        f"round(stddev_samp({c}), 6) AS stddev, round(CAST(min({c}) AS DOUBLE), 6) AS min, "
+        f"round(CAST(max({c}) AS DOUBLE), 6) AS max FROM train_set"
+        for c in cols
+    )
+    return {
+        "duplicate_products": with_ctes(
+            "SELECT product_id, count(*) AS cnt FROM train_lines GROUP BY product_id HAVING count(*) > 1"
+        ),
+        "unmatched_filtered": with_ctes(
+            "SELECT user_id, product_id, up_cnt FROM up_mart a WHERE NOT EXISTS (SELECT 1 FROM user_mart u "
+            "WHERE u.user_id = a.user_id AND u.eval_set = 'train') OR NOT EXISTS (SELECT 1 FROM prd_mart p "
+            "WHERE p.product_id = a.product_id AND p.product_id % 2 = 0)"
+        ),
+        "undefined_counts": with_ctes(
+            " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) - count({c}) AS undefined FROM train_data" for c in undefined)
+        ),
+        "products_without_days": with_ctes(
+            "SELECT user_id, product_id, count(*) AS cnt FROM opp GROUP BY user_id, product_id "
+            "HAVING count(days_since_prior_order) = 0"
+        ),
+        "nan_counts": with_ctes(
+            "SELECT count(*) - count(up_usr_ratio) AS up_usr_ratio, count(*) - count(up_usr_reord_ratio) AS up_usr_reord_ratio "
+            "FROM up_mart"
+        ),
+        "top_products": with_ctes(
+            "SELECT product_id, prd_total_cnt, prd_reordered_cnt FROM prd_mart ORDER BY prd_total_cnt DESC, product_id LIMIT 10"
+        ),
+        "describe_all": with_ctes(described),
+    }
+
+
+def fine_queries() -> dict[str, str]:
+    """The evaluation on a score of thousands of values: the EVAL block with another score and cut."""
+    old = f"up_reord_cnt / up_cnt AS score,\n         CAST(up_reord_cnt / up_cnt > {THRESHOLD} AS DOUBLE) AS prediction"
+    score = "(up_cnt * prd_total_cnt) / usr_total_cnt"
+    assert old in EVAL
+    block = EVAL.replace(old, f"{score} AS score, CAST({score} > 20.0 AS DOUBLE) AS prediction")
+
+    def run(final: str) -> str:
+        return f"WITH {BASKET},{MARTS},{block}\n{final}"
+
+    report = " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM metrics"
+        for m in ["tn", "fp", "fn", "tp", "accuracy", "precision", "recall", "f1"]
+    )
+    return {
+        "roc_curve_fine": run("SELECT * FROM roc"),
+        "pr_curve_sample": run(
+            "SELECT threshold, tp / nullif(tp + fp, 0) AS precision, tp / nullif(tp_total, 0) AS recall, rank FROM cum "
+            "WHERE (rank - 1) % 50 = 0"
+        ),
+        "auc_exact_fine": run("SELECT * FROM auc"),
+        "evaluate_report_fine": run(f"{report} UNION ALL SELECT 'auc', auc FROM auc"),
+        "evaluator_metrics": run(
+            "SELECT 'accuracy' AS metric, round(accuracy, 9) AS value FROM metrics UNION ALL "
+            "SELECT 'weightedPrecision', round(weighted_precision, 9) FROM wm UNION ALL "
+            "SELECT 'weightedRecall', round(weighted_recall, 9) FROM wm UNION ALL "
+            "SELECT 'f1', round(weighted_f1, 9) FROM wm UNION ALL SELECT 'areaUnderROC', round(auc, 9) FROM auc"
+        ),
+    }
+
+
+STUMP = """
+stump_set AS (
+  SELECT user_id, product_id, order_id, up_cnt, up_max_ord_num, up_min_ord_num,
+         CAST(2 * up_max_ord_num > usr_max_order_number AS INTEGER) AS reordered
+  FROM train_set
+),
+long AS (
+  SELECT f, CAST(v AS DOUBLE) AS v, reordered AS y FROM (
+    UNPIVOT (SELECT reordered, CAST(up_cnt AS BIGINT) AS up_cnt, CAST(up_max_ord_num AS BIGINT) AS up_max_ord_num,
+                    CAST(up_min_ord_num AS BIGINT) AS up_min_ord_num FROM stump_set)
+    ON up_cnt, up_max_ord_num, up_min_ord_num INTO NAME f VALUE v)
+),
+per_value AS (SELECT f, v, count(*) AS n, sum(y) AS p FROM long GROUP BY f, v),
+cuts AS (
+  SELECT f, (v + lead(v) OVER w) / 2 AS cut, sum(n) OVER w AS ln, sum(p) OVER w AS lp,
+         sum(n) OVER (PARTITION BY f) AS tn, sum(p) OVER (PARTITION BY f) AS tp
+  FROM per_value WINDOW w AS (PARTITION BY f ORDER BY v)
+),
+best AS (
+  SELECT f, cut FROM cuts WHERE cut IS NOT NULL
+  ORDER BY lp * (ln - lp) / ln + (tp - lp) * ((tn - ln) - (tp - lp)) / (tn - ln), f, cut LIMIT 1
+),
+sided AS (
+  SELECT t.*, CASE b.f WHEN 'up_cnt' THEN up_cnt WHEN 'up_max_ord_num' THEN up_max_ord_num ELSE up_min_ord_num END
+              <= b.cut AS lower
+  FROM stump_set t, best b
+),
+leaf AS (SELECT lower, count(*) AS cnt, CAST(sum(reordered) AS BIGINT) AS positives FROM sided GROUP BY lower)
+"""
+
+
+def stump_queries() -> dict[str, str]:
+    """One split found in SQL: the cut with the least impurity (Gini and variance choose the same)."""
+
+    def run(final: str) -> str:
+        return f"WITH {BASKET},{MARTS},{STUMP}\n{final}"
+
+    scored = run(
+        "SELECT round(positives / cnt, 9) AS p1, CAST(2 * positives > cnt AS DOUBLE) AS prediction, cnt, positives FROM leaf"
+    )
+    return {
+        "stump_tree": run("SELECT f AS feature, cut, 3 AS num_nodes, 1 AS depth FROM best"),
+        "stump_predict": run(
+            f"SELECT {', '.join('s.' + c for c in ID_COLUMNS)}, round(l.positives / l.cnt, 9) AS p1, "
+            "CAST(2 * l.positives > l.cnt AS DOUBLE) AS prediction FROM sided s JOIN leaf l ON s.lower = l.lower"
+        ),
+        "stump_forest": scored,
+        "stump_pipeline": scored,
+        "stump_gbt": run(
+            "SELECT round(1 / (1 + exp(-2 * (2 * positives / cnt - 1))), 9) AS p1, "
+            "CAST(2 * positives > cnt AS DOUBLE) AS prediction, cnt, positives FROM leaf"
+        ),
+        "stump_importance": run(
+            "SELECT x.feature, CAST(x.feature = b.f AS DOUBLE) AS importance FROM best b, "
+            "(VALUES ('up_cnt'), ('up_max_ord_num'), ('up_min_ord_num')) AS x(feature)"
+        ),
+    }
+
+
 def result_queries() -> dict[str, str]:
     return {
         "threshold_labels": with_eval("SELECT * FROM tscored"),
@@ -389,7 +515,23 @@ def all_queries() -> dict[str, str]:
     out = {}
     out.update(mart_queries())
     out.update(audit_queries())
-    out["sql_user_features"] = with_ctes("SELECT * FROM user_f")
+    out["sql_aisle_report"] = with_ctes(
+        "SELECT aisle_key AS aisle_id, count(DISTINCT order_id) AS orders, count(DISTINCT user_id) AS users, "
+        "count(*) AS line_count, sum(reordered) / count(*) AS reorder_share FROM opp_dim GROUP BY aisle_key"
+    )
+    out["csv_user_mart"] = with_ctes("SELECT * FROM user_mart")
+    out["malformed_rows"] = with_ctes(
+        "SELECT count(*) AS row_count, count(*) FILTER (WHERE department_id = 2) AS malformed FROM products", marts=False
+    )
+    out["uncastable_aisles"] = with_ctes(
+        "SELECT 'Blunted' AS value, count(*) AS cnt FROM products WHERE department_id = 1", marts=False
+    )
+    out["assembled_features"] = with_ctes(
+        f"SELECT {', '.join(ID_COLUMNS)}, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in MODEL_FEATURES)} FROM train_set"
+    )
+    out.update(more_audits())
+    out.update(fine_queries())
+    out.update(stump_queries())
     out["submission_csv"] = with_eval("SELECT * FROM sub")
     out.update(result_queries())
     out.update(evaluation_queries())

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trolley.operators import evaluate, models, tuning
-from trolley.operators.models import depth_for_leaves, translate_gbt
+from trolley.operators.models import translate_gbt
 
 
 @pytest.fixture(scope="module")
@@ -35,9 +35,16 @@ def test_gbt_rejects_multiclass(spark):
 
 
 def test_gbt_translation():
-    kw = translate_gbt({"numIterations": 100, "maxDepth": 18, "numLeaves": 72, "baggingFraction": 0.741, "learningRate": 0.013})
-    assert kw == {"maxIter": 100, "maxDepth": 7, "subsamplingRate": 0.741, "stepSize": 0.013}
-    assert depth_for_leaves(32) == 5 and depth_for_leaves(33) == 6
+    given = {"numIterations": 100, "maxDepth": 18, "numLeaves": 72, "baggingFraction": 0.741, "learningRate": 0.013}
+    kw = translate_gbt(given, rows=7200)
+    assert kw == {"maxIter": 100, "maxDepth": 18, "minInstancesPerNode": 100, "subsamplingRate": 0.741, "stepSize": 0.013}
+
+
+def test_leaf_budget_bounds_the_leaves(spark):
+    rows = [(float(i % 97), float((i * 31) % 89), int((i * 7) % 5 < 2)) for i in range(1000)]
+    df = models.assemble(spark.createDataFrame(rows, "a double, b double, reordered int"), ["a", "b"])
+    m = models.fit_gbt(df, maxIter=1, maxDepth=10, numLeaves=8)
+    assert (m.trees[0].numNodes + 1) // 2 <= 8
 
 
 def test_cross_validation_results(separable):

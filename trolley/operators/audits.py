@@ -75,6 +75,33 @@ def undefined_ratios(df: DataFrame, ratio_col: str, keep: Sequence[str]) -> Data
     return df.where(F.col(ratio_col).isNull()).select(*keep)
 
 
+def undefined_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Q8 for several columns: (column, undefined) with the number of rows where it is NULL, from one aggregate."""
+    row = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in cols])
+    pairs = ", ".join(f"'{c}', `{c}`" for c in cols)
+    return row.select(F.expr(f"stack({len(cols)}, {pairs}) as (column_name, undefined)"))
+
+
+def empty_groups(df: DataFrame, keys: Sequence[str], value: str, *, count_col: str = "cnt") -> DataFrame:
+    """PF9: groups whose aggregate is NULL (no row of the group has a value)."""
+    g = df.groupBy(*keys).agg(F.avg(value).alias("_avg"), F.count(F.lit(1)).alias(count_col))
+    return g.where(F.col("_avg").isNull()).select(*keys, count_col)
+
+
+def malformed_rows(df: DataFrame, corrupt: str = "_corrupt_record") -> DataFrame:
+    """Rows and malformed rows of a CSV scan that keeps its corrupt lines.
+
+    ``df`` should be the stored scan: a line is only found malformed where all its columns are parsed.
+    """
+    return df.agg(F.count(F.lit(1)).alias("row_count"), F.count(F.when(F.col(corrupt).isNotNull(), 1)).alias("malformed"))
+
+
+def uncastable(df: DataFrame, col: str, to: str = "int") -> DataFrame:
+    """Values that are there but cannot be cast (S2: they drop out of the dimension join), with their row counts."""
+    bad = F.col(col).isNotNull() & F.col(col).try_cast(to).isNull()
+    return df.where(bad).groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("cnt"))
+
+
 def submission_coverage(scored: DataFrame, submission: DataFrame, test_orders: DataFrame) -> DataFrame:
     """Q9: scored rows whose order is missing from the submission, submission rows, and test orders."""
     missing = scored.join(submission.select("order_id"), "order_id", "left_anti")

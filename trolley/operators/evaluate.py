@@ -216,3 +216,12 @@ def auc_binned(df: DataFrame, label: str = "label", raw: str = "rawPrediction",
     """E5: Spark's binned ROC AUC (``BinaryClassificationEvaluator``, ``numBins`` bins)."""
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName="areaUnderROC", numBins=bins)
     return float(ev.evaluate(df))
+
+
+def evaluator_report(df: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score") -> DataFrame:
+    """Spark's evaluators (all thresholds for the AUC) as (metric, value), rounded to 9 digits."""
+    names = ("accuracy", "weightedPrecision", "weightedRecall", "f1")
+    d = df.select(F.col(label).cast("double").alias("label"), F.col(prediction).alias("prediction"), F.col(score).alias("raw"))
+    rows = [(m, multiclass_metric(d, m, "label", "prediction")) for m in names]
+    rows.append(("areaUnderROC", auc_binned(d, "label", "raw", 0)))
+    return df.sparkSession.createDataFrame([(m, round(v, 9)) for m, v in rows], "metric string, value double")

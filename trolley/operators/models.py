@@ -4,13 +4,12 @@ Boosted trees of the XGBoost/LightGBM kind are mapped onto Spark's ``GBTClassifi
 learning rate → ``stepSize``, bagging fraction → ``subsamplingRate``, feature fraction →
 ``featureSubsetStrategy``; early stopping uses ``validationIndicatorCol`` with a tolerance (Spark stops when
 the validation loss improves by less than ``validationTol``; there is no round count). Spark has no leaf-count
-limit; a leaf budget ``numLeaves`` is enforced as a depth cap ``ceil(log2(numLeaves))`` (a tree of that depth has
-at most that many leaves rounded up to a power of two), which also keeps level-wise training affordable.
+limit; a leaf budget ``numLeaves`` becomes ``minInstancesPerNode = rows / numLeaves`` (a tree then has at most that many
+leaves), and ``maxDepth`` acts beside it. Parameters without a counterpart raise.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from typing import Any
@@ -42,23 +41,25 @@ GBT_ALIASES = {
     "colsample_bytree": "featureSubsetStrategy",
 }
 LEAF_BUDGET = {"numLeaves", "num_leaves"}
-IGNORED_GBT = {"earlyStoppingRound", "early_stopping_rounds", "eval_metric", "missing"}
+#: Parameters that change a result and have no counterpart in Spark's boosted trees.
+UNMAPPED_GBT = {"earlyStoppingRound", "early_stopping_rounds", "eval_metric", "missing"}
 
 
-def depth_for_leaves(leaves: int) -> int:
-    """Smallest depth whose full binary tree has at least ``leaves`` leaves."""
-    return max(1, math.ceil(math.log2(max(2, int(leaves)))))
+def translate_gbt(params: dict[str, Any], rows: int | None = None) -> dict[str, Any]:
+    """Other libraries' boosting parameters → GBTClassifier parameters (see module notes).
 
-
-def translate_gbt(params: dict[str, Any]) -> dict[str, Any]:
-    """Other libraries' boosting parameters → GBTClassifier parameters (see module notes)."""
+    ``rows`` is the number of training rows; a leaf budget needs it. A parameter that cannot be mapped raises.
+    """
     kw: dict[str, Any] = {}
-    leaves = None
     for k, v in params.items():
-        if k in IGNORED_GBT or v is None:
+        if v is None:
             continue
+        if k in UNMAPPED_GBT:
+            raise ValueError(f"'{k}' has no counterpart in Spark's boosted trees; leave it out")
         if k in LEAF_BUDGET:
-            leaves = int(v)
+            if rows is None:
+                raise ValueError(f"'{k}' is mapped to the least rows of a leaf and needs the number of rows")
+            kw["minInstancesPerNode"] = max(1, int(rows) // max(2, int(v)))
             continue
         name = GBT_ALIASES.get(k, k)
         if name == "featureSubsetStrategy" and isinstance(v, float):
@@ -66,8 +67,6 @@ def translate_gbt(params: dict[str, Any]) -> dict[str, Any]:
         if name in ("maxIter", "maxDepth"):
             v = int(v)
         kw[name] = v
-    if leaves is not None:
-        kw["maxDepth"] = min(kw.get("maxDepth", 30), depth_for_leaves(leaves))
     return kw
 
 
@@ -106,9 +105,9 @@ def forest(label: str = LABEL, features: str = "features", **params: Any) -> Ran
     return RandomForestClassifier(featuresCol=features, labelCol=label, **params)
 
 
-def gbt(label: str = LABEL, features: str = "features", **params: Any) -> GBTClassifier:
+def gbt(label: str = LABEL, features: str = "features", rows: int | None = None, **params: Any) -> GBTClassifier:
     """A GBTClassifier; other libraries' parameter names are translated (see ``GBT_ALIASES``)."""
-    return GBTClassifier(featuresCol=features, labelCol=label, **translate_gbt(params))
+    return GBTClassifier(featuresCol=features, labelCol=label, **translate_gbt(params, rows))
 
 
 def fit_tree(df: DataFrame, label: str = LABEL, features: str = "features", **params: Any):
@@ -127,7 +126,8 @@ def fit_gbt(df: DataFrame, label: str = LABEL, features: str = "features", **par
     """Binary gradient-boosted trees; ``validationIndicatorCol`` enables early stopping."""
     with persisted(df):
         check_binary(df, label)
-        return gbt(label, features, **params).fit(df)
+        rows = df.count() if LEAF_BUDGET & set(params) else None
+        return gbt(label, features, rows, **params).fit(df)
 
 
 def predict(model, df: DataFrame) -> DataFrame:
@@ -155,6 +155,16 @@ def tree_summary(model) -> DataFrame:
     return spark.createDataFrame([row], "num_trees int, num_nodes int, depth int, num_classes int, num_features int")
 
 
+def root_split(model) -> tuple[int, float]:
+    """(feature index, threshold) of a tree's first split (an ensemble's first tree)."""
+    tree_model = model.trees[0] if hasattr(model, "trees") else model
+    root = tree_model._java_obj.rootNode()
+    if root.subtreeDepth() == 0:
+        raise ValueError("the tree is a single leaf")
+    split = root.split()
+    return int(split.featureIndex()), float(split.threshold())
+
+
 def pipeline(stages: Sequence[Any]) -> Pipeline:
     """A Pipeline of the given stages."""
     return Pipeline(stages=list(stages))
@@ -182,6 +192,7 @@ __all__ = [
     "gbt",
     "pipeline",
     "predict",
+    "root_split",
     "tree",
     "tree_summary",
 ]

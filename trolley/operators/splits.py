@@ -65,3 +65,11 @@ def describe_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``df.describe(cols)`` with the statistics cast back to double (count, mean, stddev, min, max)."""
     d = df.describe(*cols)
     return d.select("summary", *[F.col(c).cast("double").alias(c) for c in cols])
+
+
+def describe_numeric(df: DataFrame, digits: int = 6) -> DataFrame:
+    """A17 for every column of a numeric frame: (column, cnt, mean, stddev, min, max), rounded, one row a column."""
+    fns = {"cnt": F.count, "mean": F.avg, "stddev": F.stddev_samp, "min": F.min, "max": F.max}
+    row = df.agg(*[f(c).cast("double").alias(f"{c}__{n}") for c in df.columns for n, f in fns.items()])
+    parts = [f"'{c}', " + ", ".join(f"round(`{c}__{n}`, {digits})" for n in fns) for c in df.columns]
+    return row.select(F.expr(f"stack({len(df.columns)}, {', '.join(parts)}) as (column_name, {', '.join(fns)})"))

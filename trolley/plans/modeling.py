@@ -12,7 +12,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.functions.scalar import ID_COLUMNS, LABEL, MODEL_FEATURES, REORDER_THRESHOLD
+from trolley.functions.scalar import ID_COLUMNS, LABEL, MODEL_FEATURES, REORDER_THRESHOLD, feature_columns
 from trolley.operators import models, results, splits
 
 SPLIT_KEYS = ["user_id", "product_id"]
@@ -28,7 +28,7 @@ class Prepared:
 
 def prepare_binary(train_set: DataFrame, features: list[str] | None = None, test_fraction: float = 0.2) -> Prepared:
     """Zero-filled train rows → feature vector → key-hash 80/20 split (reproducible, ids kept)."""
-    cols = features or MODEL_FEATURES
+    cols = features or feature_columns(train_set)
     vec = models.assemble(train_set.fillna(0), cols)
     tr, te = splits.split(vec, [1 - test_fraction, test_fraction], seed=SPLIT_SEED, keys=SPLIT_KEYS)
     return Prepared(tr, te, list(cols))

@@ -43,9 +43,27 @@ DEPARTMENTS_SCHEMA = T.StructType(
 SUBMISSION_SCHEMA = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("products", T.StringType())])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, *, header: bool = True) -> DataFrame:
-    """IO1: CSV scan with a header and an explicit schema."""
-    return spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").csv(path)
+CORRUPT = "_corrupt_record"
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, *, header: bool = True, corrupt: bool = False
+) -> DataFrame:
+    """IO1: CSV scan with a header and an explicit schema.
+
+    A field that does not fit its type is NULL. With ``corrupt`` the column ``_corrupt_record`` holds the whole line of
+    such a row (NULL for good rows), so that bad rows can be counted (``audits.malformed_rows``).
+    """
+    reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
+    if corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.schema(schema).csv(path)
+
+
+def write_csv(df: DataFrame, path: str, *, compression: str = "none") -> None:
+    """The counterpart of ``read_csv``: CSV with a header, ``gzip`` if wanted."""
+    df.write.mode("overwrite").option("header", True).option("compression", compression).csv(path)
 
 
 def read_lines(spark: SparkSession, path: str, schema: T.StructType = LINES_SCHEMA) -> DataFrame:
