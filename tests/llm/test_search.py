@@ -61,11 +61,9 @@ def test_near_dedup_against_brute_force(spark):
         assert r["kept"] == (r["doc_id"] == r["component_id"]) == r["first"]
 
 
-@pytest.mark.parametrize("rounds", [0, 1])
-def test_dense_nodes_by_pivots_and_blocks(spark, monkeypatch, rounds):
+def test_dense_nodes_by_pivots_and_blocks(spark, monkeypatch):
     """Large groups of near copies and of texts just too different: every node is dense, nothing is lost."""
     monkeypatch.setattr(near_dedup, "SMALL", 2)
-    monkeypatch.setattr(near_dedup, "PIVOT_ROUNDS", rounds)
     monkeypatch.setattr(near_dedup, "BLOCK", 16)
     monkeypatch.setattr(near_dedup, "TILE", 8)
     rng = random.Random(6)
@@ -89,6 +87,14 @@ def test_components_of_a_long_path(spark):
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
 
 
+def test_merge_links_old_classes_and_new_vertices(spark):
+    label = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5)], "v long, root long")
+    more = spark.createDataFrame([(2, 6), (8, 9), (6, 9)], "a long, b long")
+    got = {r["v"]: r["root"] for r in near_dedup.merge(label, more).collect()}
+    assert got == dict.fromkeys([1, 2, 5, 6, 8, 9], 1)
+    assert near_dedup.merge(label, more.where("a > 99")).count() == 4
+
+
 def test_near_dedup_awkward(spark):
     docs = awkward_docs(spark)
     rows = near_dedup.near_dedup(docs).collect()

@@ -9,7 +9,7 @@
    every level is used (0.522 a tree); most nodes are small after one level.
 3. *Dense nodes*, still larger after the last level, hold texts that are nearly all alike. Listing their pairs would
    grow with the square of the group. They are linked through pivots: the member closest to the node's consensus and
-   a few others are compared with all members (linear work), classes are merged, and what is left are the pairs
+   a few others are compared with all members (linear work), links make classes, and what is left are the pairs
    between different classes. Those are compared exhaustively, on full sets, inside block tasks that give back only
    links that join two classes; a pair that meets in several trees is compared in the first one. Nothing is capped.
 4. *Links* are confirmed on the full sets: 100 * intersection >= 85 * union. Connected components come from minimum
@@ -40,7 +40,6 @@ SMALL = 24
 #: Agreeing tokens (of 64) below which a pair is not looked at: at similarity 0.85 the mean is 54.4 and the standard
 #: deviation 2.9, so a true pair falls below with a probability under 1e-7.
 MIN_AGREE = 38
-PIVOT_ROUNDS = 3
 PIVOTS = 3  # besides the consensus member
 SAMPLE = 64  # members that make a node's consensus
 BLOCK = 2048
@@ -225,9 +224,7 @@ def _consensus(members: DataFrame, reps: DataFrame) -> DataFrame:
     return got.groupBy("node").applyInPandas(mode, "node long, c array<int>")
 
 
-def _with_class(members: DataFrame, label: DataFrame | None) -> DataFrame:
-    if label is None:
-        return members.withColumn("cls", F.col("rep"))
+def _with_class(members: DataFrame, label: DataFrame) -> DataFrame:
     j = members.join(label.withColumnRenamed("v", "rep"), "rep", "left")
     return j.select("node", "rep", F.coalesce("root", "rep").alias("cls"))
 
@@ -307,9 +304,37 @@ def _block_links(members: DataFrame, dense: DataFrame, reps: DataFrame, sets: Da
     return m.groupBy("node", "lo", "hi").applyInPandas(compare, "a long, b long")
 
 
-def near_links(docs: DataFrame, reps: DataFrame) -> DataFrame | None:
-    """(v, root) of the linked representatives, None if there are no candidates."""
+def _star(dense: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs of every member of a dense node with the node's pivots: the member closest to the consensus, and others."""
+    members = dense.select("node", "rep")
+    close = members.join(_consensus(members, reps), "node").join(reps.select("rep", "tokens"), "rep")
+    agree = F.aggregate(F.zip_with("tokens", "c", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+    picks = [F.max_by("rep", F.struct("agree", "rep")).alias("p0")]
+    picks += [F.min_by("rep", F.struct(F.xxhash64(F.lit(k), "rep"), F.col("rep"))).alias(f"p{k}") for k in range(1, PIVOTS + 1)]
+    pivots = close.select("node", "rep", agree.alias("agree")).groupBy("node").agg(*picks)
+    some = F.array_distinct(F.array(*[f"p{k}" for k in range(PIVOTS + 1)]))
+    star = members.join(pivots.select("node", F.explode(some).alias("p")), "node").where("rep <> p")
+    return star.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b"))
+
+
+def merge(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``label`` after more links: the components of the graph of roots, which is much smaller."""
+    root = lambda c: label.select(F.col("v").alias(c), F.col("root").alias(f"{c}r"))
+    j = links.join(root("a"), "a", "left").join(root("b"), "b", "left")
+    over = store(j.select(F.coalesce("ar", "a").alias("a"), F.coalesce("br", "b").alias("b")).where("a <> b"), "dedup-roots")
+    if not over.limit(1).count():
+        return label
+    up = components(over)
+    known = label.unionByName(up.select("v", F.col("v").alias("root")).join(label.select("v"), "v", "left_anti"))
+    j = known.join(up.select(F.col("v").alias("root"), F.col("root").alias("r")), "root", "left")
+    return store(j.select("v", F.coalesce("r", "root").alias("root")), "dedup-label")
+
+
+def near_links(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(v, root) of the linked representatives."""
     found, dense = _branch(reps)
+    if dense is not None:
+        found.append(_star(dense, reps))
     pairs = found[0]
     for p in found[1:]:
         pairs = pairs.union(p)
@@ -318,33 +343,13 @@ def near_links(docs: DataFrame, reps: DataFrame) -> DataFrame | None:
     if dense is not None:
         wanted = wanted.union(dense.select("rep"))
     sets = _sets(docs, reps.join(wanted.distinct(), "rep", "left_semi"))
-    links = store(_confirm(likely, sets), "dedup-confirmed")
-    label = components(links)
+    label = components(_confirm(likely, sets))
     if dense is None:
         return label
-    for round_ in range(PIVOT_ROUNDS):
-        left = store(_open_nodes(_with_class(dense, label)), "dedup-open")
-        if not left.limit(1).count():
-            return label
-        close = left.join(_consensus(left, reps), "node").join(reps.select("rep", "tokens"), "rep")
-        agree = F.aggregate(F.zip_with("tokens", "c", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-        picks = [F.max_by("rep", F.struct(F.col("agree"), F.col("rep"))).alias("p0")]
-        picks += [
-            F.min_by("rep", F.struct(F.xxhash64(F.lit(100 * round_ + k), "rep"), F.col("rep"))).alias(f"p{k}")
-            for k in range(1, PIVOTS + 1)
-        ]
-        pivots = close.select("node", "rep", agree.alias("agree")).groupBy("node").agg(*picks)
-        pivots = pivots.select("node", F.explode(F.array_distinct(F.array(*[f"p{k}" for k in range(PIVOTS + 1)]))).alias("p"))
-        pivots = _with_class(pivots.withColumnRenamed("p", "rep"), label).select("node", F.col("rep").alias("p"), F.col("cls").alias("pc"))
-        star = left.join(pivots, "node").where("cls <> pc")
-        star = star.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
-        links = store(links.union(_confirm(_likely(star, reps), sets)), "dedup-confirmed")
-        label = components(links)
-    left = store(_open_nodes(_with_class(dense, label)), "dedup-open")
-    if left.limit(1).count():
-        more = _block_links(left, dense, reps, sets)
-        label = components(store(links.union(more), "dedup-confirmed"))
-    return label
+    left = store(_open_nodes(_with_class(dense.select("node", "rep"), label)), "dedup-open")
+    if not left.limit(1).count():
+        return label
+    return merge(label, store(_block_links(left, dense, reps, sets), "dedup-blocks"))
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
@@ -363,8 +368,6 @@ def near_dedup(docs: DataFrame) -> DataFrame:
         "dedup-reps",
     )
     label = near_links(docs, reps)
-    if label is None:
-        label = spark.createDataFrame([], "v long, root long")
     rooted = reps.select("n", "s1", "s2", "rep", "head").join(label.withColumnRenamed("v", "rep"), "rep", "left")
     rooted = store(rooted.withColumn("root", F.coalesce("root", "rep")), "dedup-rooted")
     heads = rooted.groupBy("root").agg(F.min("head").alias("h"))
