@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import uuid
 import zipfile
 
@@ -19,19 +19,23 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package (as ``--py-files`` does), once per application."""
+    """Give the executors this package (as ``--py-files`` does), once per application, by way of the shared folder."""
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="trolley-py-"), "trolley.zip")
-    with zipfile.ZipFile(path, "w") as z:
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
         for folder, _, names in os.walk(root):
             for n in sorted(names):
                 if n.endswith(".py"):
                     full = os.path.join(folder, n)
                     z.write(full, os.path.join("trolley", os.path.relpath(full, root)))
-    spark.sparkContext.addPyFile(path)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{stage_path(spark, 'package')}/trolley.zip")
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+    out.write(data.getvalue())
+    out.close()
+    spark.sparkContext.addPyFile(path.toString())
     _SHIPPED.add(app)
 
 
