@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from trolley.llm.common import held_out, label_counts, labelled, one_blas_thread, ship_package, store
 
 THRESHOLD = 0.7  # fixed by the contract
-PER_CLASS = 2000  # labelled documents of each class that may be learnt from
+PER_CLASS = 1500  # labelled documents of each class that may be learnt from
 BUCKETS = 1 << 16
 DIM = 8
 EPOCHS = 4
@@ -173,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, per_class: int = PER_CLASS, label
     per = [share.get(c, 0) / max(1, k) for c, k in enumerate(n)]
     scale = len(rows) / max(1, sum(share.values()))
     examples = [
-        (np.frombuffer(r["idx"], np.int32), np.frombuffer(r["wt"], np.float32).astype(float), r["y"], per[r["y"]] * scale)
+        (np.frombuffer(r["idx"], np.int32), np.frombuffer(r["wt"], np.float32), r["y"], per[r["y"]] * scale)
         for r in rows
     ]
     return train(examples)
