@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import math
 import os
 import uuid
 import zipfile
@@ -79,6 +80,12 @@ def label_counts(labels: DataFrame, label: str) -> DataFrame:
     return learnable(labels, label).groupBy("y").agg(F.count(F.lit(1)).alias("n"))
 
 
+def class_weights(labels: DataFrame, label: str, per_class: int | None = None) -> dict[int, float]:
+    """y → how many learnable labels each one of the sample that ``labelled`` draws stands for (1 where none is left out)."""
+    n = {r["y"]: r["n"] for r in label_counts(labels, label).collect()}
+    return {y: max(1.0, n.get(y, 0) / (per_class or math.inf)) for y in (0, 1)}
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int | None = None, seed: int = 7) -> DataFrame:
     """(doc_id, text, y) of the documents whose label may be learnt; y is 0 or 1.
 

@@ -17,7 +17,9 @@ The attack lexicon and the patterns' weights are learnt from labelled documents
   shortest unit wins: a kept prefix covers the words that begin with it;
 * seed words of common languages (fixed values below) are used unless labelled documents speak against them.
 
-``PER_CLASS`` bounds the labelled sample; every document's whole text is scored.
+``PER_CLASS`` bounds the labelled sample of each class. A sampled document counts as often as its class was thinned, in
+the units' shares and in the weights' fit, so that the classes keep their shares at every size. Every document's whole
+text is scored.
 
 Defined cases: NULL and empty texts match nothing and get the base score; without usable labels the seed lexicon and
 the prior weights are used; repeated rows get equal scores; labels, lang, source and doc_id are never inputs of a
@@ -37,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import held_out, labelled, one_blas_thread, ship_package, store
+from trolley.llm.common import class_weights, held_out, labelled, one_blas_thread, ship_package, store
 
 THRESHOLD = 0.3  # fixed by the contract
 PER_CLASS = 8000  # labelled documents of each class that may be learnt from
@@ -199,6 +201,18 @@ def wilson_low(k: float, n: float, z: float = 1.96) -> float:
     return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
+def weighted_low(toxic: float, clean: float, each: dict[int, float], z: float = 1.96) -> float:
+    """The lower bound of the toxic share among sampled documents that stand for ``each[y]`` documents of their class.
+
+    The bound is that of the sample's effective size: documents that stand for many others add no certainty.
+    """
+    k, c = toxic * each[1], clean * each[0]
+    if k + c <= 0:
+        return 0.0
+    n = (k + c) ** 2 / (k * each[1] + c * each[0])
+    return wilson_low(k / (k + c) * n, n, z)
+
+
 def first_units(text: str) -> dict[str, str]:
     """unit → the word before its first occurrence; prefixes are marked with a trailing ``*``."""
     out: dict[str, str] = {}
@@ -213,8 +227,12 @@ def first_units(text: str) -> dict[str, str]:
     return out
 
 
-def learn_lexicon(train: DataFrame) -> Lexicon:
-    """Attack units from (text, y); see the module text. The sample is bounded, and so are the candidates."""
+def learn_lexicon(train: DataFrame, each: dict[int, float] | None = None) -> Lexicon:
+    """Attack units from (text, y); see the module text. The sample is bounded, and so are the candidates.
+
+    ``each`` says how many documents a sampled one of class y stands for (1 by default).
+    """
+    each = each or {0: 1.0, 1: 1.0}
 
     def toxic_units(batches):
         for b in batches:
@@ -240,28 +258,30 @@ def learn_lexicon(train: DataFrame) -> Lexicon:
 
     counted = train.where("y = 0").select("text").mapInArrow(clean_units, "unit string, n long")
     clean = {r["unit"]: r["n"] for r in counted.groupBy("unit").agg(F.sum("n").alias("n")).collect()}
-    total = {u: k + clean.get(u, 0) for u, k in candidates.items()}
-    good = {
-        u for u, k in candidates.items() if k >= MIN_PRECISION * total[u] and wilson_low(k, total[u]) >= MIN_BOUND
-    }
+    total = {u: k * each[1] + clean.get(u, 0) * each[0] for u, k in candidates.items()}
+    low = lambda u, z: weighted_low(candidates[u], clean.get(u, 0), each, z)
+    good = {u for u, k in candidates.items() if k * each[1] >= MIN_PRECISION * total[u] and low(u, 1.96) >= MIN_BOUND}
     prefixes: dict[str, float] = {}
     for u in sorted((u for u in good if u.endswith("*")), key=lambda u: (len(u), u)):
         if not any(u.startswith(p) for p in prefixes):
-            prefixes[u[:-1]] = wilson_low(candidates[u], total[u], 1.0)
+            prefixes[u[:-1]] = low(u, 1.0)
     words = {w: SEED_WEIGHT for w in SEED_ATTACKS if not clean.get(w)}
-    words |= {u: wilson_low(candidates[u], total[u], 1.0) for u in good if not u.endswith("*")}
+    words |= {u: low(u, 1.0) for u in good if not u.endswith("*")}
     words = {w: x for w, x in words.items() if not any(w[:k] in prefixes for k in PREFIXES)}
     return Lexicon(words, prefixes)
 
 
-def fit_weights(counts: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30) -> np.ndarray:
-    """Logistic weights by Newton's method, pulled towards PRIOR."""
+def fit_weights(
+    counts: np.ndarray, y: np.ndarray, importance: np.ndarray | None = None, ridge: float = 1.0, steps: int = 30
+) -> np.ndarray:
+    """Logistic weights by Newton's method, pulled towards PRIOR; a row counts ``importance`` times (mean 1)."""
     X = np.column_stack([np.ones(len(y)), np.log1p(counts)])
+    m = np.ones(len(y)) if importance is None else importance / importance.mean()
     w = PRIOR.copy()
     for _ in range(steps):
         p = 1.0 / (1.0 + np.exp(-np.clip(X @ w, -30, 30)))
-        grad = X.T @ (p - y) + ridge * (w - PRIOR)
-        hess = (X * (p * (1 - p))[:, None]).T @ X + ridge * np.eye(len(w))
+        grad = X.T @ (m * (p - y)) + ridge * (w - PRIOR)
+        hess = (X * (m * p * (1 - p))[:, None]).T @ X + ridge * np.eye(len(w))
         step = np.linalg.solve(hess, grad)
         w = w - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
@@ -298,15 +318,16 @@ def fit(docs: DataFrame, labels: DataFrame, *, per_class: int = PER_CLASS) -> Mo
     """Learn the lexicon and the weights from at most ``per_class`` labelled documents of each class."""
     ship_package(docs.sparkSession)
     train = store(labelled(docs, labels, "toxic", per_class), "toxic-train")
+    each = class_weights(labels, "toxic", per_class)
     # The weights come from labelled documents that the lexicon has not seen.
     apart = F.pmod(F.xxhash64(F.lit(13), "doc_id"), F.lit(3)) == 0
-    lexicon = learn_lexicon(train.where(~apart))
+    lexicon = learn_lexicon(train.where(~apart), each)
     rows = _kinds(train.where(apart), lexicon, "y", f"y long, {_COUNTS}").collect()
     one_blas_thread()
     if not rows:
         return Model(lexicon, PRIOR.copy())
     a = np.array([tuple(r) for r in rows], float)
-    return Model(lexicon, fit_weights(a[:, 1:], a[:, 0]))
+    return Model(lexicon, fit_weights(a[:, 1:], a[:, 0], np.where(a[:, 0] == 1, each[1], each[0])))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
