@@ -182,16 +182,15 @@ def take(sized: DataFrame, *, share: float, weights: Sequence[float], max_repeat
     )
 
 
-def mixed_documents(docs: DataFrame, *, stored: bool = False, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents: the input's rows and columns, each as often as it is taken.
 
     A document's taken words are a number of whole copies and a rest; the rest becomes one more copy with the
-    probability of its share (seeded by the document), so each source's words stay near its target. The rows are
-    numbered twice, so the input must be read alike both times: a table of files is (``stored``), anything else
-    is written first.
+    probability of its share (seeded by the document), so each source's words stay near its target. The rows'
+    numbers are written with the rows: two scans of the same files need not number them alike.
     """
     cols = docs.columns
-    rows = (docs if stored else store(docs, "mix-input")).withColumn("__row__", F.monotonically_increasing_id())
+    rows = store(docs.withColumn("__row__", F.monotonically_increasing_id()), "mix-input")
     sized = rows.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),

@@ -90,7 +90,7 @@ def tokens(s: np.ndarray) -> np.ndarray:
 _STAGE = "doc_id long, row long, n long, s1 long, s2 long, tokens array<int>"
 
 
-def _signatures(docs: DataFrame) -> DataFrame:
+def _signatures(docs: DataFrame, row: str | None = None) -> DataFrame:
     def run(batches):
         for b in batches:
             n, s1, s2, tk = [], [], [], []
@@ -108,7 +108,8 @@ def _signatures(docs: DataFrame) -> DataFrame:
             )
 
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
         F.col("text").cast("string").alias("text"),
     )
     return store(rows.mapInArrow(run, _STAGE), "dedup-signatures")
@@ -352,14 +353,15 @@ def near_links(docs: DataFrame, reps: DataFrame) -> DataFrame:
     return merge(label, store(_block_links(left, dense, reps, sets), "dedup-blocks"))
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
+def near_dedup(docs: DataFrame, row: str | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, row, first): see the module text.
 
-    ``row`` numbers the input's rows; ``first`` is true for one row of each component.
+    ``row`` numbers the input's rows, by the column of that name if one is given; ``first`` is true for one row of
+    each component.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    stage = _signatures(docs)
+    stage = _signatures(docs, row)
     reps = store(
         stage.where("n > 0 and doc_id is not null")
         .groupBy("n", "s1", "s2")
@@ -384,13 +386,11 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     )
 
 
-def first_documents(docs: DataFrame, *, stored: bool = False) -> DataFrame:
+def first_documents(docs: DataFrame) -> DataFrame:
     """The input's rows and columns with one row of each component.
 
-    The rows are numbered twice, so the input must be read alike both times: a table of files is (``stored``),
-    anything else is written first.
+    The rows' numbers are written with the rows: two scans of the same files need not number them alike.
     """
-    rows = docs if stored else store(docs, "dedup-input")
-    keep = near_dedup(rows).where("first").select(F.col("row").alias("__row__"))
-    numbered = rows.withColumn("__row__", F.monotonically_increasing_id())
-    return numbered.join(keep, "__row__", "left_semi").select(*docs.columns)
+    rows = store(docs.withColumn("__row__", F.monotonically_increasing_id()), "dedup-input")
+    keep = near_dedup(rows, "__row__").where("first").select(F.col("row").alias("__row__"))
+    return rows.join(keep, "__row__", "left_semi").select(*docs.columns)
