@@ -14,7 +14,8 @@
 The text: character references decoded, white space of a block one space, trimmed, blocks joined in page order by a space.
 
 Defined cases: NULL or empty html and pages without main text give an empty text; unclosed and crossing tags are closed
-as browsers do for paragraphs and list items; a cut-off tag at the end is dropped; repeated rows give equal results; an empty
+as browsers do for paragraphs and list items; a silent element (``SILENT``) without its end tag ends at the next block or with
+the block it stands in, a head at the first thing that no head holds; a cut-off tag at the end is dropped; repeated rows give equal results; an empty
 table gives no rows.
 """
 
@@ -43,7 +44,8 @@ BLOCKS = frozenset(
     "tbody tfoot tr td th caption pre blockquote figure figcaption fieldset address details summary dialog hr menu "
     "center legend".split()
 )
-SILENT = frozenset("head script style noscript template svg iframe textarea select option button object canvas math".split())
+SILENT = frozenset("head script style noscript template svg iframe textarea select datalist option canvas".split())
+HEAD = frozenset("base basefont bgsound link meta title script style noscript template noframes".split())  # what a head may hold
 RAW = frozenset("script style textarea title".split())
 VOID = frozenset("br hr img input meta link area base col embed source track wbr param".split())
 CLOSES_P = BLOCKS - {"html", "body"}
@@ -94,7 +96,7 @@ def parse(page: str) -> Page:
     stack = [0]
     runs: list[tuple[int, str]] = []
     buf: list[str] = []
-    silent: list[str] = []
+    silent: list[tuple[str, bool]] = []  # open silent elements; True: nothing closes it, so a block's edge does
     links = link_from = 0
 
     def flush() -> None:
@@ -115,6 +117,8 @@ def parse(page: str) -> Page:
 
     def text(s: str) -> None:
         nonlocal link_from
+        if silent and silent[-1][0] == "head" and s.strip():
+            silent.pop()
         if not silent and s:
             buf.append(s)
             if links:
@@ -127,6 +131,10 @@ def parse(page: str) -> Page:
                 del stack[k:]
                 return
 
+    def end_silence() -> None:
+        while silent and silent[-1][1]:
+            silent.pop()
+
     at, end = 0, len(page)
     while at < end:
         m = _TAG.search(page, at)
@@ -144,16 +152,26 @@ def parse(page: str) -> Page:
             continue
         tag = tag.lower()
         if m.group(1):
+            names_open = [t for t, _ in silent]
+            if names_open and tag == names_open[-1]:
+                silent.pop()
+                continue
+            if tag in names_open:
+                del silent[names_open.index(tag) :]
+                continue
+            if tag in BLOCKS and any(nodes[k].tag == tag for k in stack):
+                end_silence()
             if silent:
-                if tag == silent[-1]:
-                    silent.pop()
-                elif tag in silent:
-                    del silent[silent.index(tag) :]
-            elif tag in BLOCKS:
+                continue
+            if tag in BLOCKS:
                 close(tag)
             elif tag == "a":
                 links = max(0, links - 1)
             continue
+        if tag in BLOCKS:
+            end_silence()
+        if silent and silent[-1][0] == "head" and tag not in HEAD:
+            silent.pop()
         if tag in RAW:
             # Up to its own end tag nothing is markup.
             stop = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
@@ -161,7 +179,10 @@ def parse(page: str) -> Page:
             continue
         if tag in SILENT:
             if not m.group(3).rstrip().endswith("/"):
-                silent.append(tag)
+                if silent and silent[-1] == (tag, True):
+                    silent.pop()
+                follows = re.compile(rf"<(/?){tag}(?=[\s/>])", re.I).search(page, at)
+                silent.append((tag, tag == "head" or follows is None or not follows.group(1)))
             continue
         if tag == "body" and silent:
             silent = []
