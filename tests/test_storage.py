@@ -51,7 +51,7 @@ def test_local_master_gets_a_folder():
 
 def test_changed_sources_are_derived_anew(spark, tmp_path):
     for n in SOURCES:
-        shutil.copyfile(table_path(SF, n), tmp_path)
+        shutil.copyfile(table_path(SF, n), table_path(str(tmp_path), n))
     first = load_basket(spark, str(tmp_path))
     assert load_basket(spark, str(tmp_path)) is first
     before = source_digest(spark, [table_path(str(tmp_path), "orders")])
