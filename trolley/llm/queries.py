@@ -74,6 +74,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.spelling import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mix": op1_source_mix,
@@ -86,6 +92,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op9_near_dedup": op9_near_dedup,
         "op10_quality": op10_quality,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
