@@ -74,6 +74,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.lexical_search import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trolley.llm.spelling import spelling_variants
 
@@ -92,9 +98,41 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op9_near_dedup": op9_near_dedup,
         "op10_quality": op10_quality,
+        "op12_lexical_search": op12_lexical_search,
         "op13_spelling_variants": op13_spelling_variants,
     }
 
 
+#: A search that scores every document for every item.
+OP12_SQL = """
+WITH cut AS (
+  SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts
+  FROM documents
+), d AS (SELECT doc_id, rid, ts, len(ts) AS n FROM cut WHERE len(ts) > 0),
+all_docs AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM d),
+tf AS (SELECT rid, doc_id, n, term, count(*) AS tf FROM (SELECT rid, doc_id, n, unnest(ts) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+item AS (
+  SELECT item_id, row_number() OVER () AS iid, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM benchmark
+), asked AS (SELECT iid, item_id, term, count(*) AS k FROM item GROUP BY ALL),
+weighed AS (
+  SELECT iid, item_id, term, k, CAST(floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w
+  FROM asked JOIN df USING (term), all_docs
+), scored AS (
+  SELECT iid, item_id, rid, doc_id,
+    CAST(sum(k * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * big_n) // big_l)))) AS BIGINT) AS score
+  FROM weighed JOIN tf USING (term), all_docs GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_lexical_search": OP12_SQL}
