@@ -74,6 +74,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op11_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trolley.llm.parity_join import parity_join
+
+    return parity_join(table(spark, sf_dir, "documents"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trolley.llm.lexical_search import search
 
@@ -98,6 +104,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op9_near_dedup": op9_near_dedup,
         "op10_quality": op10_quality,
+        "op11_parity_join": op11_parity_join,
         "op12_lexical_search": op12_lexical_search,
         "op13_spelling_variants": op13_spelling_variants,
     }
