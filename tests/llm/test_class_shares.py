@@ -7,7 +7,6 @@ import pytest
 
 from tests.llm.helpers import words
 from trolley.llm import toxicity
-from trolley.llm.common import class_weights
 
 NO_LABELS = "doc_id long, quality int, toxic int"
 
@@ -26,14 +25,6 @@ def rare_corpus(spark, n=3000):
     return spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(labels, NO_LABELS)
 
 
-def test_class_weights(spark):
-    labels = spark.createDataFrame([(i, 1, int(i % 10 == 1)) for i in range(3000)], NO_LABELS)
-    assert class_weights(labels, "toxic") == class_weights(labels, "toxic", 8000) == {0: 1.0, 1: 1.0}
-    got = class_weights(labels, "toxic", 225)
-    assert got[1] == pytest.approx(1.0, abs=0.2) and got[0] == pytest.approx(9.0, rel=0.1)
-    assert class_weights(labels.where("false"), "toxic", 10) == {0: 1.0, 1: 1.0}
-
-
 def test_thinned_class_keeps_its_share(spark):
     docs, labels = rare_corpus(spark)
     whole, thin = (toxicity.fit(docs, labels, per_class=k) for k in (None, 300))
@@ -51,11 +42,3 @@ def test_weights_of_a_thinned_sample():
     counts[rng.random(6000) < 0.1, 0] = 1.0
     w = toxicity.fit_weights(counts, y, np.where(y == 1, 1.0, 19.0))
     assert toxicity.score_of(np.zeros((1, len(toxicity.KINDS))), w)[0] == pytest.approx(0.05, abs=0.01)
-
-
-def test_bound_of_a_thinned_sample():
-    same = {0: 1.0, 1: 1.0}
-    assert toxicity.weighted_low(30, 3, same) == pytest.approx(toxicity.wilson_low(30, 33))
-    assert toxicity.weighted_low(30, 3, {0: 10.0, 1: 10.0}) == pytest.approx(toxicity.wilson_low(30, 33))
-    assert toxicity.weighted_low(30, 3, {0: 10.0, 1: 1.0}) < toxicity.wilson_low(30, 60)
-    assert toxicity.weighted_low(0, 0, same) == 0.0

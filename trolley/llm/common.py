@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import math
 import os
 import uuid
 import zipfile
@@ -65,8 +64,10 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def learnable(labels: DataFrame, label: str) -> DataFrame:
-    """(doc_id, y) of the labels outside the held-out fold."""
+def learnable(labels: DataFrame, label: str, docs: DataFrame | None = None) -> DataFrame:
+    """(doc_id, y) of the labels outside the held-out fold; with ``docs``, of those whose document is there."""
+    if docs is not None:
+        labels = labels.join(docs.select("doc_id"), "doc_id", "left_semi")
     return (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
         .where(~held_out(F.col("doc_id")))
@@ -75,15 +76,9 @@ def learnable(labels: DataFrame, label: str) -> DataFrame:
     )
 
 
-def label_counts(labels: DataFrame, label: str) -> DataFrame:
+def label_counts(labels: DataFrame, label: str, docs: DataFrame | None = None) -> DataFrame:
     """(y, n): how many labels of each class may be learnt."""
-    return learnable(labels, label).groupBy("y").agg(F.count(F.lit(1)).alias("n"))
-
-
-def class_weights(labels: DataFrame, label: str, per_class: int | None = None) -> dict[int, float]:
-    """y → how many learnable labels each one of the sample that ``labelled`` draws stands for (1 where none is left out)."""
-    n = {r["y"]: r["n"] for r in label_counts(labels, label).collect()}
-    return {y: max(1.0, n.get(y, 0) / (per_class or math.inf)) for y in (0, 1)}
+    return learnable(labels, label, docs).groupBy("y").agg(F.count(F.lit(1)).alias("n"))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int | None = None, seed: int = 7) -> DataFrame:
@@ -93,12 +88,13 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int | No
     that occurs in several document rows gives one example per row. ``per_class`` bounds the sample: of each
     class the doc_ids with the smallest seeded hashes, the same ones on every run.
     """
-    y = learnable(labels, label)
+    y = learnable(labels, label, docs)
     if per_class:
         order = [F.xxhash64(F.lit(seed), F.col("doc_id")), F.col("doc_id")]
         y = y.where("y = 0").orderBy(*order).limit(per_class).unionByName(
             y.where("y = 1").orderBy(*order).limit(per_class)
         )
+        y = F.broadcast(y)  # at most 2 * per_class rows
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     return d.join(y, "doc_id")
 

@@ -168,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, per_class: int = PER_CLASS, label
     if not rows:
         return Model(np.zeros(BUCKETS), 0.0)
     # The sample holds the classes in equal numbers at most; an example's importance restores their shares.
-    share = {r["y"]: r["n"] for r in label_counts(labels, label).collect()}
+    share = {r["y"]: r["n"] for r in label_counts(labels, label, docs).collect()}
     n = [sum(r["y"] == c for r in rows) for c in (0, 1)]
     per = [share.get(c, 0) / max(1, k) for c, k in enumerate(n)]
     scale = len(rows) / max(1, sum(share.values()))

@@ -10,20 +10,25 @@ quoted, if the labels say so.
 
 The attack lexicon and the patterns' weights are learnt from labelled documents outside the held-out fold:
 
-* a *unit* (a word, or a word's first 4 to 9 letters) is a candidate if it occurs in toxic documents behind at
-  least ``MIN_CONTEXTS`` different words, its first occurrence in a document counting. Copies of one text share
-  their contexts, so a group of copies counts once;
-* a candidate is kept if the share of toxic documents among its documents, and its lower bound, are high enough. The
-  shortest unit wins: a kept prefix covers the words that begin with it;
+* a *unit* (a word, or a word's first 4 to 9 letters) is a candidate if it occurs in toxic documents of the sample behind
+  at least ``MIN_CONTEXTS`` different words, its first occurrence in a document counting. Copies of one text share their
+  contexts, so a group of copies counts once;
+* the candidates' documents are counted over all learnable documents, toxic and clean, in one pass. A candidate
+  is kept if the share of toxic documents among its documents, and its lower bound, are high enough, and if so many contexts
+  would rarely be toxic by chance: of all candidates together fewer than ``FALSE_UNITS`` are expected to pass by chance. So
+  the lexicon of a table does not widen with its size. The shortest unit wins: a kept prefix covers the words that
+  begin with it;
 * seed words of common languages (fixed values below) are used unless labelled documents speak against them.
 
-``PER_CLASS`` bounds the labelled sample of each class. A sampled document counts as often as its class was thinned, in
-the units' shares and in the weights' fit, so that the classes keep their shares at every size. Every document's whole
-text is scored.
+``PER_CLASS`` bounds the labelled documents of each class that candidates and weights come from. A sampled document
+counts in the weights' fit as often as its class was thinned, so that the classes keep their shares at every size. Every
+document's whole text is scored: a word is looked up in the lexicon, whatever its size, and clauses that hold an attack
+are read by the grammar.
 
-Defined cases: NULL and empty texts match nothing and get the base score; without usable labels the seed lexicon and
-the prior weights are used; repeated rows get equal scores; labels, lang, source and doc_id are never inputs of a
-score; an empty table gives no rows.
+Defined cases: NULL and empty texts match nothing and get the base score; very long texts are read whole; without usable
+labels the seed lexicon and the prior weights are used; labels without a document count nowhere; repeated rows get equal
+scores; labels, lang, source and doc_id are never inputs of a score; an empty table gives no rows; other columns are
+ignored by ``toxicity`` and kept by ``clean_documents``.
 """
 
 from __future__ import annotations
@@ -39,18 +44,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import class_weights, held_out, labelled, one_blas_thread, ship_package, store
+from trolley.llm.common import held_out, labelled, learnable, one_blas_thread, ship_package, store
+from trolley.llm.tokens import Memo
 
 THRESHOLD = 0.3  # fixed by the contract
 PER_CLASS = 8000  # labelled documents of each class that may be learnt from
 MIN_CONTEXTS = 4
 MIN_PRECISION = 0.9  # a unit's share of toxic documents among the documents that hold it ...
 MIN_BOUND = 0.5  # ... and the lower bound of that share (Wilson, 95 %)
+FALSE_UNITS = 0.5  # units that may be expected to pass by chance, of all candidates together
 SEED_WEIGHT = 0.5  # of a seed word that the labelled documents neither hold nor contradict
 PREFIXES = (4, 5, 6, 7, 8, 9)
 NEGATION_REACH = 3  # words
 
-# Seed words of the classes (English, German, French, Spanish).
+# Seed words of the classes (English, German, French, Spanish). A copula is no target.
 SEED_ATTACKS = (
     "idiot idiots moron morons imbecile scum trash loser losers pathetic worthless stupid disgusting clown "
     "dumm dummkopf idioten abschaum versager trottel widerlich imbécile imbéciles stupide crétin ordure "
@@ -58,7 +65,7 @@ SEED_ATTACKS = (
 ).split()
 TARGETS = set(
     "you your yours he she they them him her his their we us du dich dir ihr euch er sie sein vous tu te toi il elle "
-    "ils elles lui leur usted ustedes tú ti él ella ellos ellas su is are ist sind est sont es son".split()
+    "ils elles lui leur usted ustedes tú ti él ella ellos ellas su".split()
 )
 NEGATIONS = set("not no never neither nor cannot nicht kein keine nie niemals pas jamais aucun ne nunca jamás ni".split())
 REPORTS = set(
@@ -138,11 +145,6 @@ class Lexicon:
     words: dict[str, float]
     prefixes: dict[str, float]
 
-    def pattern(self) -> re.Pattern | None:
-        parts = [re.escape(w) + r"(?![^\W\d_])" for w in sorted(self.words)]
-        parts += [re.escape(p) for p in sorted(self.prefixes)]
-        return re.compile(r"(?<![^\W\d_])(?:" + "|".join(parts) + ")") if parts else None
-
     def weight(self, word: str) -> float:
         """0 for a word that is no attack."""
         found = self.words.get(word, 0.0)
@@ -170,25 +172,25 @@ def clause_kinds(clause: str, lexicon: Lexicon) -> list[tuple[str, float]]:
     return out
 
 
-def document_kinds(text: str, lexicon: Lexicon, pattern: re.Pattern | None) -> list[float]:
-    """The weight of the matches of each of KINDS. Only clauses that hold an attack are read by the grammar."""
+def document_kinds(text: str, lexicon: Lexicon, weight_of: dict[str, float]) -> list[float]:
+    """The weight of the matches of each of KINDS; ``weight_of`` keeps the lexicon's answers (``known_weights``)."""
     counts = [0.0] * len(KINDS)
-    if pattern is None:
-        return counts
     low = text.lower()
-    done = -1
-    for m in pattern.finditer(low):
-        if m.start() < done:
-            continue
-        floor = max(done, 0)
-        begin = max(floor, max(low.rfind(c, floor, m.start()) for c in ".!?;:\n") + 1)
-        found = _CLAUSE_END.search(low, m.end())
-        done = found.end() if found else len(low)
-        for kind, weight in clause_kinds(low[begin:done], lexicon):
-            counts[KINDS.index(kind)] += weight
+    found = [w for w in set(_WORD.findall(low)) if weight_of[w]]
+    if not found:
+        return counts
+    for clause in _CLAUSE_END.split(low):
+        if any(w in clause for w in found):  # maybe inside another word; the grammar reads words
+            for kind, weight in clause_kinds(clause, lexicon):
+                counts[KINDS.index(kind)] += weight
     return counts
 
 
+def known_weights(lexicon: Lexicon) -> Memo:
+    """word → weight, asked of the lexicon once while it is remembered."""
+    return Memo(lexicon.weight)
+
+
 def score_of(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
     z = weights[0] + np.log1p(counts) @ weights[1:]
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
@@ -201,16 +203,22 @@ def wilson_low(k: float, n: float, z: float = 1.96) -> float:
     return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
-def weighted_low(toxic: float, clean: float, each: dict[int, float], z: float = 1.96) -> float:
-    """The lower bound of the toxic share among sampled documents that stand for ``each[y]`` documents of their class.
+def contexts_needed(base: float, candidates: int) -> int:
+    """So many contexts, all toxic, that fewer than FALSE_UNITS of the candidates would have them by chance."""
+    n = 1
+    while n < 64 and candidates * base**n >= FALSE_UNITS:
+        n += 1
+    return n
 
-    The bound is that of the sample's effective size: documents that stand for many others add no certainty.
-    """
-    k, c = toxic * each[1], clean * each[0]
-    if k + c <= 0:
-        return 0.0
-    n = (k + c) ** 2 / (k * each[1] + c * each[0])
-    return wilson_low(k / (k + c) * n, n, z)
+
+def chance(toxic: int, n: float, base: float) -> float:
+    """The probability of at least ``toxic`` toxic ones among ``n`` documents if the share is ``base``."""
+    m = max(toxic, math.ceil(n))
+    logs = [
+        math.lgamma(m + 1) - math.lgamma(i + 1) - math.lgamma(m - i + 1) + i * math.log(base) + (m - i) * math.log1p(-base)
+        for i in range(toxic, m + 1)
+    ]
+    return min(1.0, sum(math.exp(x) for x in logs))
 
 
 def first_units(text: str) -> dict[str, str]:
@@ -227,14 +235,10 @@ def first_units(text: str) -> dict[str, str]:
     return out
 
 
-def learn_lexicon(train: DataFrame, each: dict[int, float] | None = None) -> Lexicon:
-    """Attack units from (text, y); see the module text. The sample is bounded, and so are the candidates.
-
-    ``each`` says how many documents a sampled one of class y stands for (1 by default).
-    """
-    each = each or {0: 1.0, 1: 1.0}
+def toxic_contexts(texts: DataFrame, base: float) -> dict[str, int]:
+    """unit → different words before it, of the units in toxic texts that may enter the lexicon."""
 
-    def toxic_units(batches):
+    def run(batches):
         for b in batches:
             rows = [(u, c) for t in b.column(0).to_pylist() for u, c in first_units(t).items()]
             yield pa.RecordBatch.from_arrays(
@@ -242,35 +246,79 @@ def learn_lexicon(train: DataFrame, each: dict[int, float] | None = None) -> Lex
                 names=["unit", "context"],
             )
 
-    toxic = train.where("y = 1").select("text").mapInArrow(toxic_units, "unit string, context string")
-    found = toxic.groupBy("unit").agg(F.countDistinct("context").alias("c"), F.count(F.lit(1)).alias("n"))
-    candidates = {r["unit"]: r["n"] for r in found.where(F.col("c") >= MIN_CONTEXTS).collect()}
-    known = frozenset(candidates) | frozenset(SEED_ATTACKS)
+    met = texts.select("text").mapInArrow(run, "unit string, context string")
+    found = store(
+        met.groupBy("unit").agg(F.countDistinct("context").alias("c")).where(F.col("c") >= MIN_CONTEXTS), "toxic-units"
+    )
+    return {r["unit"]: r["c"] for r in found.where(F.col("c") >= contexts_needed(base, found.count())).collect()}
+
+
+def unit_counts(rows: DataFrame, known: frozenset[str]) -> dict[str, list[int]]:
+    """unit → [clean, toxic] documents that hold it, of the known units, over all rows (text, y)."""
 
-    def clean_units(batches):
-        n = Counter()
+    def run(batches):
+        def units(word: str) -> tuple[str, ...]:
+            made = (word, *(word[:k] + "*" for k in PREFIXES if len(word) > k))
+            return tuple(u for u in made if u in known)
+
+        memo = Memo(units)
+        n: Counter = Counter()
         for b in batches:
-            for t in b.column(0).to_pylist():
-                n.update(known.intersection(first_units(t)))
+            for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                held: set[str] = set()
+                for w in set(_WORD.findall(t.lower())):
+                    held.update(memo[w])
+                n.update((u, y) for u in held)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["unit", "n"]
-        )
-
-    counted = train.where("y = 0").select("text").mapInArrow(clean_units, "unit string, n long")
-    clean = {r["unit"]: r["n"] for r in counted.groupBy("unit").agg(F.sum("n").alias("n")).collect()}
-    total = {u: k * each[1] + clean.get(u, 0) * each[0] for u, k in candidates.items()}
-    low = lambda u, z: weighted_low(candidates[u], clean.get(u, 0), each, z)
-    good = {u for u, k in candidates.items() if k * each[1] >= MIN_PRECISION * total[u] and low(u, 1.96) >= MIN_BOUND}
+            [pa.array([u for u, _ in n], pa.string()), pa.array([y for _, y in n], pa.int32()),
+             pa.array(list(n.values()), pa.int64())], names=["unit", "y", "n"],
+        )
+
+    counted = rows.select("text", "y").mapInArrow(run, "unit string, y int, n long")
+    out: dict[str, list[int]] = {}
+    for r in counted.groupBy("unit", "y").agg(F.sum("n").alias("n")).collect():  # known units alone
+        out.setdefault(r["unit"], [0, 0])[r["y"]] = r["n"]
+    return out
+
+
+def choose_units(contexts: dict[str, int], counts: dict[str, list[int]], base: float, candidates: int) -> Lexicon:
+    """The lexicon of the candidates that the documents' counts bear out."""
+
+    def low(u: str, z: float) -> float:
+        clean, toxic = counts.get(u, (0, 0))
+        return wilson_low(contexts[u], contexts[u] * (clean + toxic) / max(1, toxic), z)
+
+    def kept(u: str) -> bool:
+        clean, toxic = counts.get(u, (0, 0))
+        if toxic < MIN_PRECISION * (clean + toxic) or low(u, 1.96) < MIN_BOUND:
+            return False
+        return candidates * chance(contexts[u], contexts[u] * (clean + toxic) / max(1, toxic), base) < FALSE_UNITS
+
+    good = [u for u in contexts if kept(u)]
     prefixes: dict[str, float] = {}
     for u in sorted((u for u in good if u.endswith("*")), key=lambda u: (len(u), u)):
         if not any(u.startswith(p) for p in prefixes):
             prefixes[u[:-1]] = low(u, 1.0)
-    words = {w: SEED_WEIGHT for w in SEED_ATTACKS if not clean.get(w)}
+    words = {}
+    for w in SEED_ATTACKS:
+        clean, toxic = counts.get(w, (0, 0))
+        if toxic >= MIN_PRECISION * (clean + toxic):
+            words[w] = SEED_WEIGHT
     words |= {u: low(u, 1.0) for u in good if not u.endswith("*")}
     words = {w: x for w, x in words.items() if not any(w[:k] in prefixes for k in PREFIXES)}
     return Lexicon(words, prefixes)
 
 
+def learn_lexicon(sample: DataFrame, rows: DataFrame, classes: dict[int, int]) -> Lexicon:
+    """Attack units: candidates from the sample (text, y), counted in all ``rows`` (text, y) of the classes' sizes."""
+    if not classes.get(1):
+        return choose_units({}, unit_counts(rows, frozenset(SEED_ATTACKS)), 0.0, 0)
+    base = min(0.5, classes[1] / sum(classes.values()))
+    contexts = toxic_contexts(sample.where("y = 1"), base)
+    counts = unit_counts(rows, frozenset(contexts) | frozenset(SEED_ATTACKS))
+    return choose_units(contexts, counts, base, len(contexts))
+
+
 def fit_weights(
     counts: np.ndarray, y: np.ndarray, importance: np.ndarray | None = None, ridge: float = 1.0, steps: int = 30
 ) -> np.ndarray:
@@ -299,9 +347,9 @@ def _kinds(df: DataFrame, lexicon: Lexicon, keep: str, schema: str, weights: np.
     """``keep`` (a long column) and each text's counts, and a score if there are weights."""
 
     def run(batches):
-        pattern = lexicon.pattern()
+        memo = known_weights(lexicon)
         for b in batches:
-            rows = [document_kinds(t or "", lexicon, pattern) for t in b.column(1).to_pylist()]
+            rows = [document_kinds(t or "", lexicon, memo) for t in b.column(1).to_pylist()]
             counts = np.array(rows, float).reshape(-1, len(KINDS))
             cols = [b.column(0), *(pa.array(counts[:, i].copy()) for i in range(len(KINDS)))]
             if weights is not None:
@@ -315,14 +363,17 @@ _COUNTS = ", ".join(f"m_{k} double" for k in KINDS)
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, per_class: int = PER_CLASS) -> Model:
-    """Learn the lexicon and the weights from at most ``per_class`` labelled documents of each class."""
+    """Learn the lexicon and the weights; at most ``per_class`` documents of each class make candidates and weights."""
     ship_package(docs.sparkSession)
-    train = store(labelled(docs, labels, "toxic", per_class), "toxic-train")
-    each = class_weights(labels, "toxic", per_class)
+    known = store(learnable(labels, "toxic", docs), "toxic-labels")
+    classes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    each = {y: max(1.0, classes.get(y, 0) / (per_class or math.inf)) for y in (0, 1)}
+    sample = store(labelled(docs, labels, "toxic", per_class), "toxic-train")
     # The weights come from labelled documents that the lexicon has not seen.
     apart = F.pmod(F.xxhash64(F.lit(13), "doc_id"), F.lit(3)) == 0
-    lexicon = learn_lexicon(train.where(~apart), each)
-    rows = _kinds(train.where(apart), lexicon, "y", f"y long, {_COUNTS}").collect()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    lexicon = learn_lexicon(sample.where(~apart), texts.join(known.where(~apart), "doc_id"), classes)
+    rows = _kinds(sample.where(apart), lexicon, "y", f"y long, {_COUNTS}").collect()
     one_blas_thread()
     if not rows:
         return Model(lexicon, PRIOR.copy())
@@ -351,10 +402,10 @@ def clean_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     lexicon, weights = model.lexicon, model.weights
 
     def run(batches):
-        pattern = lexicon.pattern()
+        memo = known_weights(lexicon)
         for b in batches:
             texts = b.column(b.schema.get_field_index("text")).to_pylist()
-            counts = np.array([document_kinds(t or "", lexicon, pattern) for t in texts], float)
+            counts = np.array([document_kinds(t or "", lexicon, memo) for t in texts], float)
             yield b.filter(pa.array(score_of(counts.reshape(-1, len(KINDS)), weights) < THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)
