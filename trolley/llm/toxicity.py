@@ -235,26 +235,27 @@ def first_units(text: str) -> dict[str, str]:
     return out
 
 
-def toxic_contexts(texts: DataFrame, base: float) -> dict[str, int]:
-    """unit → different words before it, of the units in toxic texts that may enter the lexicon."""
+def toxic_contexts(texts: DataFrame) -> DataFrame:
+    """(unit, c, c_in): different words before a unit in the toxic texts (text, apart), and in those not apart."""
 
     def run(batches):
         for b in batches:
-            rows = [(u, c) for t in b.column(0).to_pylist() for u, c in first_units(t).items()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())],
-                names=["unit", "context"],
-            )
+            rows = [
+                (u, None if apart else c, c)
+                for t, apart in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
+                for u, c in first_units(t).items()
+            ]
+            cols = list(zip(*rows)) if rows else [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["unit", "inside", "context"])
 
-    met = texts.select("text").mapInArrow(run, "unit string, context string")
-    found = store(
-        met.groupBy("unit").agg(F.countDistinct("context").alias("c")).where(F.col("c") >= MIN_CONTEXTS), "toxic-units"
-    )
-    return {r["unit"]: r["c"] for r in found.where(F.col("c") >= contexts_needed(base, found.count())).collect()}
+    met = texts.select("text", "apart").mapInArrow(run, "unit string, inside string, context string")
+    seen = met.groupBy("unit", "context").agg(F.max("inside").alias("inside"))
+    per = seen.groupBy("unit").agg(F.count("context").alias("c"), F.count("inside").alias("c_in"))
+    return store(per.where(F.col("c") >= MIN_CONTEXTS), "toxic-units")
 
 
-def unit_counts(rows: DataFrame, known: frozenset[str]) -> dict[str, list[int]]:
-    """unit → [clean, toxic] documents that hold it, of the known units, over all rows (text, y)."""
+def unit_counts(rows: DataFrame, known: frozenset[str]) -> tuple[dict[str, list[int]], dict[str, list[int]]]:
+    """unit → [clean, toxic] documents that hold it, of the known units: over all rows (text, y, apart), and not apart."""
 
     def run(batches):
         def units(word: str) -> tuple[str, ...]:
@@ -264,21 +265,25 @@ def unit_counts(rows: DataFrame, known: frozenset[str]) -> dict[str, list[int]]:
         memo = Memo(units)
         n: Counter = Counter()
         for b in batches:
-            for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for t, y, apart in zip(*(b.column(i).to_pylist() for i in range(3))):
                 held: set[str] = set()
                 for w in set(_WORD.findall(t.lower())):
                     held.update(memo[w])
-                n.update((u, y) for u in held)
+                n.update((u, y, apart) for u in held)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([u for u, _ in n], pa.string()), pa.array([y for _, y in n], pa.int32()),
-             pa.array(list(n.values()), pa.int64())], names=["unit", "y", "n"],
+            [pa.array([k[0] for k in n], pa.string()), pa.array([k[1] for k in n], pa.int32()),
+             pa.array([k[2] for k in n], pa.bool_()), pa.array(list(n.values()), pa.int64())],
+            names=["unit", "y", "apart", "n"],
         )
 
-    counted = rows.select("text", "y").mapInArrow(run, "unit string, y int, n long")
-    out: dict[str, list[int]] = {}
-    for r in counted.groupBy("unit", "y").agg(F.sum("n").alias("n")).collect():  # known units alone
-        out.setdefault(r["unit"], [0, 0])[r["y"]] = r["n"]
-    return out
+    counted = rows.select("text", "y", "apart").mapInArrow(run, "unit string, y int, apart boolean, n long")
+    every: dict[str, list[int]] = {}
+    inside: dict[str, list[int]] = {}
+    for r in counted.groupBy("unit", "y", "apart").agg(F.sum("n").alias("n")).collect():  # known units alone
+        every.setdefault(r["unit"], [0, 0])[r["y"]] += r["n"]
+        if not r["apart"]:
+            inside.setdefault(r["unit"], [0, 0])[r["y"]] += r["n"]
+    return every, inside
 
 
 def choose_units(contexts: dict[str, int], counts: dict[str, list[int]], base: float, candidates: int) -> Lexicon:
@@ -309,14 +314,22 @@ def choose_units(contexts: dict[str, int], counts: dict[str, list[int]], base: f
     return Lexicon(words, prefixes)
 
 
-def learn_lexicon(sample: DataFrame, rows: DataFrame, classes: dict[int, int]) -> Lexicon:
-    """Attack units: candidates from the sample (text, y), counted in all ``rows`` (text, y) of the classes' sizes."""
+def learn_lexicons(sample: DataFrame, rows: DataFrame, classes: dict[int, int]) -> tuple[Lexicon, Lexicon]:
+    """The lexicon of all rows, and that of the rows not apart.
+
+    Candidates come from the ``sample``, their documents are counted in all ``rows`` (both: text, y, apart);
+    ``classes`` are the numbers of rows of each class.
+    """
     if not classes.get(1):
-        return choose_units({}, unit_counts(rows, frozenset(SEED_ATTACKS)), 0.0, 0)
+        every, inside = unit_counts(rows, frozenset(SEED_ATTACKS))
+        return choose_units({}, every, 0.0, 0), choose_units({}, inside, 0.0, 0)
     base = min(0.5, classes[1] / sum(classes.values()))
-    contexts = toxic_contexts(sample.where("y = 1"), base)
-    counts = unit_counts(rows, frozenset(contexts) | frozenset(SEED_ATTACKS))
-    return choose_units(contexts, counts, base, len(contexts))
+    found = toxic_contexts(sample.where("y = 1"))
+    need = [contexts_needed(base, found.where(F.col(c) >= MIN_CONTEXTS).count()) for c in ("c", "c_in")]
+    units = found.where((F.col("c") >= need[0]) | (F.col("c_in") >= need[1])).collect()
+    contexts = [{r["unit"]: r[c] for r in units if r[c] >= max(k, MIN_CONTEXTS)} for c, k in zip(("c", "c_in"), need)]
+    counts = unit_counts(rows, frozenset(r["unit"] for r in units) | frozenset(SEED_ATTACKS))
+    return tuple(choose_units(x, n, base, len(x)) for x, n in zip(contexts, counts))
 
 
 def fit_weights(
@@ -369,11 +382,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, per_class: int = PER_CLASS) -> Mo
     classes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     each = {y: max(1.0, classes.get(y, 0) / (per_class or math.inf)) for y in (0, 1)}
     sample = store(labelled(docs, labels, "toxic", per_class), "toxic-train")
-    # The weights come from labelled documents that the lexicon has not seen.
-    apart = F.pmod(F.xxhash64(F.lit(13), "doc_id"), F.lit(3)) == 0
+    apart = (F.pmod(F.xxhash64(F.lit(13), "doc_id"), F.lit(3)) == 0).alias("apart")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    lexicon = learn_lexicon(sample.where(~apart), texts.join(known.where(~apart), "doc_id"), classes)
-    rows = _kinds(sample.where(apart), lexicon, "y", f"y long, {_COUNTS}").collect()
+    split = lambda df: df.select("text", "y", apart)
+    lexicon, inside = learn_lexicons(split(sample), split(texts.join(known, "doc_id")), classes)
+    # The weights come from labelled documents that their lexicon has not seen; then the lexicon of all takes its place.
+    rows = _kinds(split(sample).where("apart"), inside, "y", f"y long, {_COUNTS}").collect()
     one_blas_thread()
     if not rows:
         return Model(lexicon, PRIOR.copy())
