@@ -97,9 +97,10 @@ def test_lexicon_against_a_plain_version(spark):
     want = plain_lexicon(rows, learnt, learnt, base)
     model = toxicity.fit(*frames(spark, rows))
     assert (set(model.lexicon.words), set(model.lexicon.prefixes)) == want
-    some = [(t, y, i not in fold) for i, t, y in rows if i in learnt]
-    df = spark.createDataFrame(some, "text string, y int, apart boolean")
-    both = toxicity.learn_lexicons(df, df, {0: kinds.count(0), 1: kinds.count(1)})
+    docs = frames(spark, rows)[0]
+    some = [(i, t, y, i not in fold) for i, t, y in rows if i in learnt]
+    df = spark.createDataFrame(some, "doc_id long, text string, y int, apart boolean")
+    both = toxicity.learn_lexicons(docs, df.drop("text"), df.drop("doc_id"), {0: kinds.count(0), 1: kinds.count(1)})
     assert both[0] == model.lexicon
     assert (set(both[1].words), set(both[1].prefixes)) == plain_lexicon(rows, learnt, fold, base)
     assert set(STEMS) <= want[1] and not model.lexicon.weight("commonplace")

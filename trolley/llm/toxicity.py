@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -236,50 +237,75 @@ def first_units(text: str) -> dict[str, str]:
 
 
 def toxic_contexts(texts: DataFrame) -> DataFrame:
-    """(unit, c, c_in): different words before a unit in the toxic texts (text, apart), and in those not apart."""
+    """(unit, c, c_in, k): different words before a unit in the toxic texts (text, apart), and in those not apart; texts."""
 
     def run(batches):
         for b in batches:
-            rows = [
-                (u, None if apart else c, c)
-                for t, apart in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
-                for u, c in first_units(t).items()
-            ]
-            cols = list(zip(*rows)) if rows else [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["unit", "inside", "context"])
-
-    met = texts.select("text", "apart").mapInArrow(run, "unit string, inside string, context string")
-    seen = met.groupBy("unit", "context").agg(F.max("inside").alias("inside"))
-    per = seen.groupBy("unit").agg(F.count("context").alias("c"), F.count("inside").alias("c_in"))
+            met: dict[tuple[str, int], list[int]] = {}
+            for t, apart in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for u, c in first_units(t).items():
+                    n = met.setdefault((u, zlib.crc32(c.encode("utf-8", "replace"))), [0, 0])
+                    n[0] += 1
+                    n[1] = n[1] or int(not apart)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([u for u, _ in met], pa.string()), pa.array([c for _, c in met], pa.int64()),
+                 *(pa.array([n[i] for n in met.values()], pa.int64()) for i in (0, 1))],
+                names=["unit", "context", "k", "inside"],
+            )
+
+    met = texts.select("text", "apart").mapInArrow(run, "unit string, context long, k long, inside long")
+    seen = met.groupBy("unit", "context").agg(F.sum("k").alias("k"), F.max("inside").alias("inside"))
+    per = seen.groupBy("unit").agg(F.count(F.lit(1)).alias("c"), F.sum("inside").alias("c_in"), F.sum("k").alias("k"))
     return store(per.where(F.col("c") >= MIN_CONTEXTS), "toxic-units")
 
 
-def unit_counts(rows: DataFrame, known: frozenset[str]) -> tuple[dict[str, list[int]], dict[str, list[int]]]:
-    """unit → [clean, toxic] documents that hold it, of the known units: over all rows (text, y, apart), and not apart."""
+def units_of(known: frozenset[str] | None = None) -> Memo:
+    """word → its units: the word and its beginnings, all or the known ones."""
+
+    def made(word: str) -> tuple[str, ...]:
+        every = (word, *(word[:k] + "*" for k in PREFIXES if len(word) > k))
+        return every if known is None else tuple(u for u in every if u in known)
+
+    return Memo(made)
+
+
+def clean_texts(texts: DataFrame) -> DataFrame:
+    """(unit, n): how many of the texts hold a unit."""
 
     def run(batches):
-        def units(word: str) -> tuple[str, ...]:
-            made = (word, *(word[:k] + "*" for k in PREFIXES if len(word) > k))
-            return tuple(u for u in made if u in known)
+        memo, n = units_of(), Counter()
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                n.update({u for w in set(_WORD.findall(t.lower())) for u in memo[w]})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["unit", "n"]
+            )
+            n.clear()
+
+    return texts.select("text").mapInArrow(run, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
-        memo = Memo(units)
-        n: Counter = Counter()
+
+def unit_counts(docs: DataFrame, labels: DataFrame, known: frozenset[str]) -> tuple[dict[str, list[int]], dict[str, list[int]]]:
+    """unit → [clean, toxic] documents that hold it, of the known units: of all labels (doc_id, y, apart), and not apart.
+
+    The texts stay where they are: what is joined with the labels are the known units that a document holds.
+    """
+
+    def run(batches):
+        memo = units_of(known)
         for b in batches:
-            for t, y, apart in zip(*(b.column(i).to_pylist() for i in range(3))):
-                held: set[str] = set()
-                for w in set(_WORD.findall(t.lower())):
-                    held.update(memo[w])
-                n.update((u, y, apart) for u in held)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in n], pa.string()), pa.array([k[1] for k in n], pa.int32()),
-             pa.array([k[2] for k in n], pa.bool_()), pa.array(list(n.values()), pa.int64())],
-            names=["unit", "y", "apart", "n"],
-        )
-
-    counted = rows.select("text", "y", "apart").mapInArrow(run, "unit string, y int, apart boolean, n long")
+            ids, units = [], []
+            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                held = {u for w in set(_WORD.findall((t or "").lower())) for u in memo[w]}
+                ids += [i] * len(held)
+                units += held
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(units, pa.string())], names=["doc_id", "unit"])
+
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    held = texts.mapInArrow(run, "doc_id long, unit string").join(labels, "doc_id")
     every: dict[str, list[int]] = {}
     inside: dict[str, list[int]] = {}
-    for r in counted.groupBy("unit", "y", "apart").agg(F.sum("n").alias("n")).collect():  # known units alone
+    for r in held.groupBy("unit", "y", "apart").agg(F.count(F.lit(1)).alias("n")).collect():  # known units alone
         every.setdefault(r["unit"], [0, 0])[r["y"]] += r["n"]
         if not r["apart"]:
             inside.setdefault(r["unit"], [0, 0])[r["y"]] += r["n"]
@@ -314,22 +340,31 @@ def choose_units(contexts: dict[str, int], counts: dict[str, list[int]], base: f
     return Lexicon(words, prefixes)
 
 
-def learn_lexicons(sample: DataFrame, rows: DataFrame, classes: dict[int, int]) -> tuple[Lexicon, Lexicon]:
-    """The lexicon of all rows, and that of the rows not apart.
+def learn_lexicons(
+    docs: DataFrame, labels: DataFrame, sample: DataFrame, classes: dict[int, int], thinned: float = 1.0
+) -> tuple[Lexicon, Lexicon]:
+    """The lexicon of all labelled documents, and that of those not apart.
 
-    Candidates come from the ``sample``, their documents are counted in all ``rows`` (both: text, y, apart);
-    ``classes`` are the numbers of rows of each class.
+    Candidates come from the ``sample`` (text, y, apart), in which a toxic document stands for ``thinned`` ones; those that
+    the sample's clean documents alone speak against go at once. The documents of the others are counted over all
+    ``labels`` (doc_id, y, apart); ``classes`` are the numbers of labels of each class.
     """
     if not classes.get(1):
-        every, inside = unit_counts(rows, frozenset(SEED_ATTACKS))
-        return choose_units({}, every, 0.0, 0), choose_units({}, inside, 0.0, 0)
+        both = unit_counts(docs, labels, frozenset(SEED_ATTACKS))
+        return tuple(choose_units({}, n, 0.0, 0) for n in both)
     base = min(0.5, classes[1] / sum(classes.values()))
     found = toxic_contexts(sample.where("y = 1"))
-    need = [contexts_needed(base, found.where(F.col(c) >= MIN_CONTEXTS).count()) for c in ("c", "c_in")]
-    units = found.where((F.col("c") >= need[0]) | (F.col("c_in") >= need[1])).collect()
-    contexts = [{r["unit"]: r[c] for r in units if r[c] >= max(k, MIN_CONTEXTS)} for c, k in zip(("c", "c_in"), need)]
-    counts = unit_counts(rows, frozenset(r["unit"] for r in units) | frozenset(SEED_ATTACKS))
-    return tuple(choose_units(x, n, base, len(x)) for x, n in zip(contexts, counts))
+    need, candidates = [], []
+    for c in ("c", "c_in"):
+        need.append(max(MIN_CONTEXTS, contexts_needed(base, found.where(F.col(c) >= MIN_CONTEXTS).count())))
+        candidates.append(found.where(F.col(c) >= need[-1]).count())
+    # The fold inside holds two thirds of both classes; a unit that is good there may be contradicted outside.
+    toxic, fold = F.col("k") * thinned, clean_texts(sample.where("y = 0 and not apart"))
+    units = found.where((F.col("c") >= need[0]) | (F.col("c_in") >= need[1])).join(fold, "unit", "left")
+    units = units.where(toxic >= MIN_PRECISION * (toxic + F.coalesce("n", F.lit(0)))).collect()
+    contexts = [{r["unit"]: r[c] for r in units if r[c] >= k} for c, k in zip(("c", "c_in"), need)]
+    counts = unit_counts(docs, labels, frozenset(r["unit"] for r in units) | frozenset(SEED_ATTACKS))
+    return tuple(choose_units(x, n, base, m) for x, n, m in zip(contexts, counts, candidates))
 
 
 def fit_weights(
@@ -383,11 +418,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, per_class: int = PER_CLASS) -> Mo
     each = {y: max(1.0, classes.get(y, 0) / (per_class or math.inf)) for y in (0, 1)}
     sample = store(labelled(docs, labels, "toxic", per_class), "toxic-train")
     apart = (F.pmod(F.xxhash64(F.lit(13), "doc_id"), F.lit(3)) == 0).alias("apart")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    split = lambda df: df.select("text", "y", apart)
-    lexicon, inside = learn_lexicons(split(sample), split(texts.join(known, "doc_id")), classes)
+    split = sample.select("text", "y", apart)
+    lexicon, inside = learn_lexicons(docs, known.select("*", apart), split, classes, each[1])
     # The weights come from labelled documents that their lexicon has not seen; then the lexicon of all takes its place.
-    rows = _kinds(split(sample).where("apart"), inside, "y", f"y long, {_COUNTS}").collect()
+    rows = _kinds(split.where("apart"), inside, "y", f"y long, {_COUNTS}").collect()
     one_blas_thread()
     if not rows:
         return Model(lexicon, PRIOR.copy())
