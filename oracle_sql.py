@@ -465,6 +465,137 @@ def stump_queries() -> dict[str, str]:
     }
 
 
+STUMP_FEATURES = ("up_cnt", "up_max_ord_num", "up_min_ord_num")
+STOP_ROUNDS, STOP_RATE, STOP_PATIENCE = 8, 1.0, 2
+CV_FOLDS, CV_MIN_ROWS = 3, (1, 4000, 12000)
+
+
+def _long(source: str, value: str) -> str:
+    """Feature values of grouped rows, one below the other, with the sums that a split needs."""
+    return " UNION ALL ".join(
+        f"SELECT '{f}' AS f, {i} AS fi, CAST({f} AS DOUBLE) AS v, CAST(sum(n) AS BIGINT) AS n, sum({value}) AS g "
+        f"FROM {source} GROUP BY {f}" for i, f in enumerate(STUMP_FEATURES)
+    )
+
+
+def boosting_ctes(rounds: int, rate: float) -> str:
+    """Boosted one-split trees: every round fits the split of least squares to the pseudo-residuals.
+
+    Grouped rows (features, label, validation flag) carry their count n, their sign y and the sum so far (score).
+    """
+    out = [
+        "boost_0 AS MATERIALIZED (SELECT up_cnt, up_max_ord_num, up_min_ord_num, isval, y, count(*) AS n, "
+        f"0.0::DOUBLE AS score FROM (SELECT up_cnt, up_max_ord_num, up_min_ord_num, {_slot(2022)} < "
+        f"{round(0.2 * 2**32)} AS isval, 2 * reordered - 1 AS y FROM stump_set) GROUP BY ALL)"
+    ]
+    for r in range(1, rounds + 1):
+        target = "y" if r == 1 else "4 * y / (1 + exp(2 * y * score))"
+        out += [
+            f"fit_{r} AS (SELECT *, n * {target} AS g FROM boost_{r - 1} WHERE NOT isval)",
+            f"vals_{r} AS ({_long(f'fit_{r}', 'g')})",
+            f"cuts_{r} AS (SELECT f, fi, (v + lead(v) OVER w) / 2 AS cut, sum(n) OVER w AS ln, sum(g) OVER w AS lg, "
+            f"sum(n) OVER (PARTITION BY f) AS tn, sum(g) OVER (PARTITION BY f) AS tg FROM vals_{r} "
+            "WINDOW w AS (PARTITION BY f ORDER BY v))",
+            f"best_{r} AS MATERIALIZED (SELECT f, cut, lg / ln AS low, (tg - lg) / (tn - ln) AS high FROM cuts_{r} "
+            "WHERE cut IS NOT NULL ORDER BY lg * lg / ln + (tg - lg) * (tg - lg) / (tn - ln) DESC, fi, cut LIMIT 1)",
+            f"boost_{r} AS MATERIALIZED (SELECT b.* REPLACE (score + {1.0 if r == 1 else rate} * CASE WHEN CASE t.f "
+            + " ".join(f"WHEN '{f}' THEN {f}" for f in STUMP_FEATURES)
+            + f" END <= t.cut THEN t.low ELSE t.high END AS score) FROM boost_{r - 1} b, best_{r} t)",
+        ]
+    losses = " UNION ALL ".join(
+        f"SELECT {r} AS round, sum(n * ln(1 + exp(-2 * y * score))) / sum(n) AS loss FROM boost_{r} WHERE isval"
+        for r in range(1, rounds + 1)
+    )
+    out += [
+        f"losses AS MATERIALIZED ({losses})",
+        "so_far AS (SELECT *, arg_min(round, loss) OVER (ORDER BY round) AS best FROM losses)",
+        f"chosen AS MATERIALIZED (SELECT coalesce((SELECT best FROM so_far WHERE round - best >= {STOP_PATIENCE} "
+        "ORDER BY round LIMIT 1), (SELECT best FROM so_far ORDER BY round DESC LIMIT 1)) AS keep)",
+    ]
+    return ",".join(out)
+
+
+def _forest_of_cuts(name: str, rows: str, least: int) -> str:
+    """The best cut (Gini) of the grouped rows (features, label, n) with at least ``least`` rows on both sides."""
+    return (
+        f"{name}_v AS ({_long(rows, 'n * reordered')}), "
+        f"{name}_c AS (SELECT f, fi, (v + lead(v) OVER w) / 2 AS cut, sum(n) OVER w AS ln, sum(g) OVER w AS lp, "
+        f"sum(n) OVER (PARTITION BY f) AS tn, sum(g) OVER (PARTITION BY f) AS tp FROM {name}_v "
+        "WINDOW w AS (PARTITION BY f ORDER BY v)), "
+        f"{name}_b AS MATERIALIZED (SELECT f, cut, 2 * lp > ln AS low, 2 * (tp - lp) > tn - ln AS high, "
+        f"lp / ln AS low_share, (tp - lp) / (tn - ln) AS high_share FROM {name}_c "
+        f"WHERE cut IS NOT NULL AND ln >= {least} AND tn - ln >= {least} "
+        "ORDER BY lp * (ln - lp) / ln + (tp - lp) * ((tn - ln) - (tp - lp)) / (tn - ln), fi, cut LIMIT 1), "
+        f"{name}_m AS MATERIALIZED (SELECT 2 * sum(n * reordered) > sum(n) AS most, "
+        f"sum(n * reordered) / sum(n) AS share FROM {rows})"
+    )
+
+
+def _predicted(name: str, kind: str) -> str:
+    """A row's prediction ('low', 'high' classes) or share, from the cut, or from all rows where no cut was allowed."""
+    low, high, whole = ("low_share", "high_share", "share") if kind == "share" else ("low", "high", "most")
+    value = "CASE b.f " + " ".join(f"WHEN '{f}' THEN {f}" for f in STUMP_FEATURES) + " END"
+    return f"coalesce(CASE WHEN {value} <= b.cut THEN b.{low} WHEN {value} > b.cut THEN b.{high} END, m.{whole})"
+
+
+def tuning_ctes() -> str:
+    """Accuracies of one-split trees by fold and least number of rows of a leaf, and on the key-hash validation part."""
+    slot = _slot(31)
+    out = [
+        "tune AS MATERIALIZED (SELECT up_cnt, up_max_ord_num, up_min_ord_num, reordered, "
+        f"{slot} % {CV_FOLDS} AS fold, {slot} < {round(0.75 * 2**32)} AS fits, count(*) AS n FROM stump_set GROUP BY ALL)"
+    ]
+    cases = [(f"k{k}_{m}", f"fold <> {k}", f"fold = {k}", m) for k in range(CV_FOLDS) for m in CV_MIN_ROWS]
+    cases += [(f"v_{m}", "fits", "NOT fits", m) for m in CV_MIN_ROWS]
+    for name, inside, outside, m in cases:
+        out += [
+            f"{name}_r AS (SELECT * FROM tune WHERE {inside})",
+            _forest_of_cuts(name, f"{name}_r", m),
+            f"{name}_a AS (SELECT sum(CASE WHEN {_predicted(name, 'class')} = (reordered = 1) THEN n ELSE 0 END) / sum(n) "
+            f"AS accuracy FROM (SELECT * FROM tune WHERE {outside}) t LEFT JOIN {name}_b b ON true LEFT JOIN {name}_m m ON true)",
+        ]
+    cv = " UNION ALL ".join(
+        f"SELECT {m} AS least, "
+        + "(" + " + ".join(f"(SELECT accuracy FROM k{k}_{m}_a)" for k in range(CV_FOLDS)) + f") / {CV_FOLDS} AS metric"
+        for m in CV_MIN_ROWS
+    )
+    tvs = " UNION ALL ".join(f"SELECT {m} AS least, accuracy AS metric FROM v_{m}_a" for m in CV_MIN_ROWS)
+    out += [f"cv AS MATERIALIZED ({cv})", f"tvs AS MATERIALIZED ({tvs})"]
+    for m in CV_MIN_ROWS:
+        out.append(_forest_of_cuts(f"all_{m}", "tune", m))
+    return ",".join(out)
+
+
+def tuning_queries() -> dict[str, str]:
+    boost = f"WITH {BASKET},{MARTS},{STUMP},{boosting_ctes(STOP_ROUNDS, STOP_RATE)}\n"
+    tune = f"WITH {BASKET},{MARTS},{STUMP},{tuning_ctes()}\n"
+
+    def results(t: str) -> str:
+        return (
+            f"SELECT 'minInstancesPerNode=' || least AS params, round(metric, 9) AS metric, "
+            f"metric = (SELECT max(metric) FROM {t}) AS is_best FROM {t}"
+        )
+
+    best = "(SELECT least FROM cv ORDER BY metric DESC, least LIMIT 1)"
+    scores = " UNION ALL ".join(
+        f"SELECT {m} AS least, {_predicted(f'all_{m}', 'share')} AS p, reordered, n "
+        f"FROM tune LEFT JOIN all_{m}_b b ON true LEFT JOIN all_{m}_m m ON true" for m in CV_MIN_ROWS
+    )
+    kept = " UNION ALL ".join(f"SELECT {r} AS round, * FROM boost_{r} WHERE isval" for r in range(1, STOP_ROUNDS + 1))
+    return {
+        "stop_rounds": boost + "SELECT round, round(loss, 9) AS loss, round = keep AS chosen FROM losses, chosen",
+        "stop_predict": boost
+        + "SELECT round(1 / (1 + exp(-2 * score)), 9) AS p1, CAST(score > 0 AS DOUBLE) AS prediction, "
+        f"CAST(sum(n) AS BIGINT) AS cnt, CAST(sum(n) FILTER (WHERE y = 1) AS BIGINT) AS positives FROM ({kept}) k, chosen "
+        "WHERE k.round = keep GROUP BY 1, 2",
+        "stump_cv": tune + results("cv"),
+        "stump_tvs": tune + results("tvs"),
+        "stump_cv_chain": tune
+        + "SELECT round(p, 9) AS p1, CAST(p > 0.5 AS DOUBLE) AS prediction, CAST(sum(n) AS BIGINT) AS cnt, "
+        f"CAST(sum(n * reordered) AS BIGINT) AS positives FROM ({scores}) WHERE least = {best} GROUP BY 1, 2",
+    }
+
+
 def result_queries() -> dict[str, str]:
     return {
         "threshold_labels": with_eval("SELECT * FROM tscored"),
@@ -536,4 +667,5 @@ def all_queries() -> dict[str, str]:
     out.update(result_queries())
     out.update(evaluation_queries())
     out.update(split_queries())
+    out.update(tuning_queries())
     return out

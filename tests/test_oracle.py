@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["part", "orders", "lineitem", "embeddings"]
+TABLES = ["part", "orders", "lineitem", "embeddings", "documents", "benchmark"]
 
 
 def _norm(v):

@@ -2,9 +2,9 @@
 
 Boosted trees of the XGBoost/LightGBM kind are mapped onto Spark's ``GBTClassifier``: rounds → ``maxIter``,
 learning rate → ``stepSize``, bagging fraction → ``subsamplingRate``, feature fraction →
-``featureSubsetStrategy``; early stopping uses ``validationIndicatorCol`` with a tolerance (Spark stops when
-the validation loss improves by less than ``validationTol``; there is no round count). Spark has no leaf-count
-limit; a leaf budget ``numLeaves`` becomes ``minInstancesPerNode = rows / numLeaves`` (a tree then has at most that many
+``featureSubsetStrategy``. Early stopping by ``validationIndicatorCol`` alone follows Spark's tolerance (it stops when the
+validation loss improves by less than ``validationTol``); with ``early_stopping_rounds`` it counts rounds
+(``operators/boosting.py``, where a missing value is handled too). Spark has no leaf-count limit; a leaf budget ``numLeaves`` becomes ``minInstancesPerNode = rows / numLeaves`` (a tree then has at most that many
 leaves), and ``maxDepth`` acts beside it. Parameters without a counterpart raise.
 """
 
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trolley.functions.scalar import LABEL
+from trolley.operators import boosting
 
 # Boosting parameter names of other libraries → Spark GBTClassifier parameter names.
 GBT_ALIASES = {
@@ -41,8 +42,12 @@ GBT_ALIASES = {
     "colsample_bytree": "featureSubsetStrategy",
 }
 LEAF_BUDGET = {"numLeaves", "num_leaves"}
-#: Parameters that change a result and have no counterpart in Spark's boosted trees.
-UNMAPPED_GBT = {"earlyStoppingRound", "early_stopping_rounds", "eval_metric", "missing"}
+#: Parameters that an estimator alone can't hold, and where to find them.
+UNMAPPED_GBT = {
+    "earlyStoppingRound": "fit_gbt stops by rounds",
+    "early_stopping_rounds": "fit_gbt stops by rounds",
+    "missing": "assemble with boosting.MissingSides",
+}
 
 
 def translate_gbt(params: dict[str, Any], rows: int | None = None) -> dict[str, Any]:
@@ -55,7 +60,11 @@ def translate_gbt(params: dict[str, Any], rows: int | None = None) -> dict[str,
         if v is None:
             continue
         if k in UNMAPPED_GBT:
-            raise ValueError(f"'{k}' has no counterpart in Spark's boosted trees; leave it out")
+            raise ValueError(f"'{k}' is no parameter of Spark's boosted trees: {UNMAPPED_GBT[k]}")
+        if k == "eval_metric":
+            if v != "logloss":
+                raise ValueError(f"boosted trees are evaluated by 'logloss', not by {v!r}")
+            continue
         if k in LEAF_BUDGET:
             if rows is None:
                 raise ValueError(f"'{k}' is mapped to the least rows of a leaf and needs the number of rows")
@@ -123,11 +132,20 @@ def fit_forest(df: DataFrame, label: str = LABEL, features: str = "features", **
 
 
 def fit_gbt(df: DataFrame, label: str = LABEL, features: str = "features", **params: Any):
-    """Binary gradient-boosted trees; ``validationIndicatorCol`` enables early stopping."""
+    """Binary gradient-boosted trees.
+
+    ``validationIndicatorCol`` enables early stopping: by Spark's tolerance, or with ``early_stopping_rounds`` by rounds.
+    """
+    params, patience = boosting.split_options(params)
+    if patience is not None and "validationIndicatorCol" not in params:
+        raise ValueError("early_stopping_rounds needs validationIndicatorCol")
     with persisted(df):
         check_binary(df, label)
         rows = df.count() if LEAF_BUDGET & set(params) else None
-        return gbt(label, features, rows, **params).fit(df)
+        if patience is None:
+            return gbt(label, features, rows, **params).fit(df)
+        flag = params.pop("validationIndicatorCol")
+        return boosting.fit_stopping(gbt(label, features, rows, **params), df, flag, patience)[0]
 
 
 def predict(model, df: DataFrame) -> DataFrame:

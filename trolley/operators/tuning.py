@@ -1,24 +1,32 @@
 """Hyper-parameter tuning (H1-H9) with Spark ML's tuning classes.
 
-The reference's TPE search (a sequential optimiser on the driver) is re-aimed as seeded random draws from the
-same search space, evaluated by ``TrainValidationSplit`` (fits run ``parallelism`` at a time) with an
-evaluator that first re-thresholds the class-1 probability, then scores weighted F1.
+The search (H8) proposes parameters adaptively (``operators/search.py``) and fits a batch of them side by side; its
+evaluator first re-thresholds the class-1 probability, then scores weighted F1. Validation rows come from a key hash,
+so that results do not depend on how the input is partitioned.
 """
 
 from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.ml import Estimator
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.param import Param, Params
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import (
+    CrossValidator,
+    CrossValidatorModel,
+    ParamGridBuilder,
+    TrainValidationSplit,
+    TrainValidationSplitModel,
+)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trolley.functions.scalar import REORDER_THRESHOLD, above, positive_probability
+from trolley.operators.search import Space, Trial, canonical, parzen_search, side_by_side
 
 # The reference's search space (quniform / uniform bounds) and its number of trials.
 SEARCH_SPACE = {
@@ -67,14 +75,56 @@ def cross_validate(
     return cv
 
 
+class KeyedTrainValidationSplit(TrainValidationSplit):
+    """H5: a TrainValidationSplit whose validation rows are those of a key hash, in a layout of their own.
+
+    ``randomSplit`` and bagging depend on the partitions of the input; here every layout of the same rows gives the same
+    models. The best parameter map is fit again on all rows.
+    """
+
+    keys: tuple[str, ...] = ()
+
+    def keyed(self, *keys: str) -> KeyedTrainValidationSplit:
+        self.keys = keys
+        return self
+
+    def _fit(self, dataset: DataFrame) -> TrainValidationSplitModel:
+        from trolley.operators import models, splits
+
+        est, maps, judge = self.getEstimator(), self.getEstimatorParamMaps(), self.getEvaluator()
+        share = self.getTrainRatio()
+        parts = splits.split(dataset, [share, 1.0 - share], seed=self.getSeed(), keys=self.keys)
+        train, held = (canonical(p, self.keys) for p in parts)
+        with models.persisted(train), models.persisted(held):
+
+            def job(m):
+                model = est.fit(train, m)
+                return model, float(judge.evaluate(model.transform(held, m)))
+
+            got = side_by_side([lambda m=m: job(m) for m in maps], self.getParallelism(), dataset.sparkSession)
+        scores = [x for _, x in got]
+        best = (max if judge.isLargerBetter() else min)(range(len(scores)), key=scores.__getitem__)
+        sub = [m for m, _ in got] if self.getCollectSubModels() else None
+        model = est.fit(canonical(dataset, self.keys), maps[best])
+        return self._copyValues(TrainValidationSplitModel(model, scores, sub))
+
+
 def train_validation(
-    est: Estimator, param_maps: list[dict], evaluator: Evaluator, ratio: float = 0.75, seed: int = 0, parallelism: int = 1
+    est: Estimator,
+    param_maps: list[dict],
+    evaluator: Evaluator,
+    ratio: float = 0.75,
+    seed: int = 0,
+    parallelism: int = 1,
+    keys: Sequence[str] = (),
 ) -> TrainValidationSplit:
-    """H5: a TrainValidationSplit."""
-    return TrainValidationSplit(
+    """H5: a TrainValidationSplit; with ``keys`` its split is a key hash, without them Spark's ``randomSplit``."""
+    kind = KeyedTrainValidationSplit if keys else TrainValidationSplit
+    tvs = kind(
         estimator=est, estimatorParamMaps=param_maps, evaluator=evaluator, trainRatio=ratio, seed=seed,
         parallelism=parallelism,
     )
+    return tvs.keyed(*keys) if keys else tvs
 
 
 def tuning_results(model, spark: SparkSession | None = None) -> DataFrame:
@@ -152,17 +202,79 @@ def search(
     ratio: float = 0.8,
     seed: int = 2021,
     parallelism: int = 4,
+    keys: Sequence[str] = (),
 ):
-    """H8: evaluate every drawn parameter set on a train/validation split with threshold-aware F1.
+    """H8 by seeded draws: evaluate every given parameter set on a validation split with threshold-aware F1.
 
     Returns the fitted TrainValidationSplitModel (``bestModel`` is refit on all of ``train``).
     """
     draws = list(draws) if draws is not None else draw_params()
     maps = gbt_param_maps(est, draws, train.count(), rounds)
-    tvs = train_validation(est, maps, ThresholdF1Evaluator(label, threshold), ratio=ratio, seed=seed, parallelism=parallelism)
+    tvs = train_validation(est, maps, ThresholdF1Evaluator(label, threshold), ratio=ratio, seed=seed, parallelism=parallelism, keys=keys)
     return tvs.fit(train)
 
 
+@dataclass(frozen=True)
+class SearchResult:
+    """H8: the scored trials; ``best`` has the largest score (the first of equal ones)."""
+
+    trials: list[Trial]
+    rows: int  # that each trial was fit on
+
+    @property
+    def best(self) -> Trial:
+        return max(self.trials, key=lambda t: (t.score, -t.number))
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """One row a trial: (trial, params, metric, is_best)."""
+        rows = []
+        for t in self.trials:
+            desc = ", ".join(f"{k}={t.params[k]!r}" for k in sorted(t.params))
+            rows.append((t.number, desc, t.score, t.number == self.best.number))
+        return spark.createDataFrame(rows, "trial int, params string, metric double, is_best boolean")
+
+
+def adaptive_search(
+    train: DataFrame,
+    keys: Sequence[str],
+    label: str = "reordered",
+    space: Space = SEARCH_SPACE,
+    trials: int = SEARCH_TRIALS,
+    rounds: int = SEARCH_ROUNDS,
+    threshold: float = REORDER_THRESHOLD,
+    ratio: float = 0.8,
+    seed: int = 2024,
+    parallelism: int = 8,
+    **options: Any,
+) -> SearchResult:
+    """H8: adaptive search of boosting parameters on a key-hash validation part, scored by F1 at the threshold.
+
+    ``options`` go to ``parzen_search`` (``startup``, ``batch``). ``seed`` must not be that of an earlier split of the
+    same rows by the same keys.
+    """
+    from trolley.operators import models, splits
+
+    spark = train.sparkSession
+    narrow = train.select(*keys, "features", label)
+    parts = splits.split(narrow, [ratio, 1.0 - ratio], seed=seed, keys=keys)
+    fit_rows, held = (canonical(p, keys) for p in parts)
+    judge = ThresholdF1Evaluator(label, threshold)
+    with models.persisted(fit_rows), models.persisted(held):
+        models.check_binary(fit_rows, label)
+        n = fit_rows.count()
+        if not n or not held.limit(1).count():
+            raise ValueError("a part of the split is empty: were the rows split by the same keys and seed before?")
+
+        def score(params: dict[str, float]) -> float:
+            model = models.gbt(label, rows=n, numIterations=rounds, seed=seed, checkpointInterval=-1, **params).fit(fit_rows)
+            return judge.evaluate(model.transform(held))
+
+        def scores(batch: list[dict[str, float]]) -> list[float]:
+            return side_by_side([lambda p=p: score(p) for p in batch], parallelism, spark)
+
+        return SearchResult(parzen_search(scores, space, trials, seed, **options), n)
+
+
 def with_fold(df: DataFrame, folds: int, seed: int, keys: Sequence[str], out: str = "fold") -> DataFrame:
     """Reproducible fold ids from a key hash (for ``CrossValidator.setFoldCol``)."""
     from trolley.operators.splits import key_slot

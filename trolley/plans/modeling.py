@@ -26,6 +26,13 @@ class Prepared:
     features: list[str]
 
 
+def split_rows(train_set: DataFrame, features: list[str] | None = None, test_fraction: float = 0.2) -> Prepared:
+    """Zero-filled train rows, not assembled yet, by the key-hash 80/20 split."""
+    cols = features or feature_columns(train_set)
+    tr, te = splits.split(train_set.fillna(0), [1 - test_fraction, test_fraction], seed=SPLIT_SEED, keys=SPLIT_KEYS)
+    return Prepared(tr, te, list(cols))
+
+
 def prepare_binary(train_set: DataFrame, features: list[str] | None = None, test_fraction: float = 0.2) -> Prepared:
     """Zero-filled train rows → feature vector → key-hash 80/20 split (reproducible, ids kept)."""
     cols = features or feature_columns(train_set)

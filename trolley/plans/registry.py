@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from trolley.functions import scalar
 from trolley.functions.scalar import ID_COLUMNS, REORDER_THRESHOLD, above, ratio
 from trolley.operators import audits, evaluate, results, splits
+from trolley.operators.search import canonical
 
 from trolley.plans.chain import MartChain
 from trolley.sources.basket import Basket, SOURCES, load_basket, source_digest, table_path
@@ -272,12 +273,15 @@ def split_queries() -> dict[str, Query]:
 
 
 STUMP_FEATURES = ["up_cnt", "up_max_ord_num", "up_min_ord_num"]  # integers of few values: SQL finds the best split too
+STOP_ROUNDS, STOP_RATE, STOP_PATIENCE = 8, 1.0, 2
+CV_FOLDS = 3
+CV_GRID = {"minInstancesPerNode": [1, 4000, 12000]}  # the larger ones rule out the best cut where tables are small
 STUMP = {"maxDepth": 1, "maxBins": 512}  # more bins than values: every midpoint is a candidate
 
 
 def stump_queries() -> dict[str, Query]:
-    """C4-C7, C10-C13 on one split, where SQL can compute the same model."""
-    from trolley.operators import models
+    """C4-C7, C9-C13, H1-H7 on one split, where SQL can compute the same model."""
+    from trolley.operators import boosting, models, tuning
 
     def data(s, d):
         # The label: bought in the second half of the user's orders. Both sides of the split then predict otherwise
@@ -322,7 +326,57 @@ def stump_queries() -> dict[str, Query]:
         pipe = models.pipeline([models.assembler(STUMP_FEATURES), models.tree(**STUMP)])
         return scored(pipe.fit(df), df)
 
+    def stopping(s, d):
+        """Boosted one-split trees, stopped by the rounds on a flagged part: (rows, cut model, rounds)."""
+        df = splits.with_validation_flag(data(s, d), 0.2, seed=VALIDATION_SEED, keys=["user_id", "product_id"])
+        est = models.gbt(maxIter=STOP_ROUNDS, stepSize=STOP_RATE, **STUMP)
+        with models.persisted(df):
+            return df, *boosting.fit_stopping(est, df, "isVal", STOP_PATIENCE)
+
+    def stop_rounds(s, d):
+        """Every round's loss on the flagged rows, and the round the model is cut to."""
+        rounds = stopping(s, d)[2]
+        return rounds.withColumn("loss", F.round("loss", 9))
+
+    def stop_predict(s, d):
+        """The cut model's probabilities of the flagged rows."""
+        df, model, _ = stopping(s, d)
+        return scored(model, df.where("isVal"))
+
+    def stump_cv(s, d):
+        """H1, H2, H6: cross-validated accuracy of one-split trees, folds from a key hash."""
+        df = tuning.with_fold(data(s, d), CV_FOLDS, FOLD_SEED, ["user_id", "product_id"])
+        dt = models.tree(**STUMP)
+        ev = evaluate.MulticlassClassificationEvaluator(labelCol=scalar.LABEL, metricName="accuracy")
+        cv = tuning.cross_validate(dt, tuning.grid(dt, CV_GRID), ev, CV_FOLDS, parallelism=4, fold_col="fold")
+        return _rounded(tuning.tuning_results(cv.fit(df), s))
+
+    def stump_cv_chain(s, d):
+        """H3, H4: the same search with the assembler and the tree as a Pipeline, scores of the best model."""
+        df = tuning.with_fold(data(s, d).drop("features"), CV_FOLDS, FOLD_SEED, ["user_id", "product_id"])
+        dt = models.tree(**STUMP)
+        pipe = models.pipeline([models.assembler(STUMP_FEATURES), dt])
+        ev = evaluate.MulticlassClassificationEvaluator(labelCol=scalar.LABEL, metricName="accuracy")
+        cv = tuning.cross_validate(pipe, tuning.grid(dt, CV_GRID), ev, CV_FOLDS, parallelism=4, fold_col="fold")
+        return scored(cv.fit(df).bestModel, df)
+
+    def stump_tvs(s, d):
+        """H5, H6: the same grid on a key-hash validation part."""
+        dt = models.tree(**STUMP)
+        ev = evaluate.MulticlassClassificationEvaluator(labelCol=scalar.LABEL, metricName="accuracy")
+        keys = ["user_id", "product_id"]
+        tvs = tuning.train_validation(dt, tuning.grid(dt, CV_GRID), ev, 0.75, seed=FOLD_SEED, parallelism=4, keys=keys)
+        return _rounded(tuning.tuning_results(tvs.fit(data(s, d)), s))
+
+    def _rounded(t):
+        return t.withColumn("metric", F.round("metric", 9))
+
     return {
+        "stop_rounds": stop_rounds,
+        "stop_predict": stop_predict,
+        "stump_cv": stump_cv,
+        "stump_cv_chain": stump_cv_chain,
+        "stump_tvs": stump_tvs,
         "stump_tree": stump_tree,
         "stump_predict": stump_predict,
         "stump_forest": stump_forest,
@@ -334,7 +388,7 @@ def stump_queries() -> dict[str, Query]:
 
 def model_queries() -> dict[str, Query]:
     """Fitted models, so no SQL oracle (row-count check only)."""
-    from trolley.operators import models, tuning
+    from trolley.operators import boosting, models, tuning
     from trolley.plans import modeling
 
     def binary(s, d):
@@ -358,6 +412,18 @@ def model_queries() -> dict[str, Query]:
         m = models.fit_gbt(p.train, maxDepth=4, maxIter=30)
         return modeling.binary_predictions(m, p.test).drop("rawPrediction")
 
+    def missing_report(s, d):
+        """Zeros as missing values, early stopping by rounds, and the evaluation of the cut model."""
+        p = modeling.split_rows(chain(s, d).train_set)
+        sides = boosting.MissingSides.of(p.train, p.features, 0.0)
+        rows = canonical(sides.assemble(p.train).select(*ID_COLUMNS, "features", scalar.LABEL), modeling.SPLIT_KEYS)
+        m = models.fit_gbt(
+            splits.with_validation_flag(rows, 0.2, seed=VALIDATION_SEED, keys=modeling.SPLIT_KEYS), n_estimators=100, learning_rate=0.1, max_depth=3, validationIndicatorCol="isVal",
+            early_stopping_rounds=10, eval_metric="logloss",
+        )
+        pred = modeling.binary_predictions(m, sides.assemble(p.test))
+        return evaluate.evaluate_report(pred, label="label", prediction="prediction", score="1_proba")
+
     def gbt_early_stop(s, d):
         p = binary(s, d)
         flagged = splits.with_validation_flag(p.train, 0.2, seed=VALIDATION_SEED, keys=["user_id", "product_id"])
@@ -452,12 +518,11 @@ def model_queries() -> dict[str, Query]:
         p = multi(s, d)
         dt = models.tree(label="label", maxDepth=10)
         g = tuning.grid(dt, {"maxDepth": [5, 7, 8, 10], "minInstancesPerNode": [3, 5, 6]})
-        return tuning.tuning_results(tuning.train_validation(dt, g, accuracy(), 0.75, seed=0, parallelism=4).fit(p.train), s)
+        tvs = tuning.train_validation(dt, g, accuracy(), 0.75, seed=0, parallelism=4, keys=["vec_id"])
+        return tuning.tuning_results(tvs.fit(p.train), s)
 
     def threshold_search(s, d):
-        p = binary(s, d)
-        with models.persisted(p.train):
-            return tuning.tuning_results(tuning.search(models.gbt(), p.train, parallelism=8), s)
+        return tuning.adaptive_search(binary(s, d).train, modeling.SPLIT_KEYS).table(s)
 
     def refit_best(s, d):
         c = chain(s, d)
@@ -469,6 +534,7 @@ def model_queries() -> dict[str, Query]:
         "tree_predict": tree_predict,
         "forest_predict": forest_predict,
         "gbt_predict": gbt_predict,
+        "missing_report": missing_report,
         "gbt_early_stop": gbt_early_stop,
         "feature_importance": feature_importance,
         "tree_summary": tree_summary,
