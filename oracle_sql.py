@@ -668,4 +668,12 @@ def all_queries() -> dict[str, str]:
     out.update(evaluation_queries())
     out.update(split_queries())
     out.update(tuning_queries())
+    out["table_user_mart"] = out["user_mart"]
+    out["table_user_product_mart"] = out["user_product_mart"]
+    out["split_data_mart"] = out["data_mart"]
+    out["split_train_set"] = out["train_set"]
+    out["table_labels"] = with_ctes(
+        "SELECT u.user_id, u.product_id, u.up_cnt, t.order_id, t.reordered FROM up_grp u "
+        "LEFT JOIN train_lines t USING (user_id, product_id)"
+    )
     return out

@@ -188,8 +188,12 @@ def user_mart(users: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def _up_with_user(up: DataFrame, umart: DataFrame) -> DataFrame:
-    j = up.join(umart, "user_id")
-    return j.select(
+    return with_user_ratios(up.join(umart, "user_id"))
+
+
+def with_user_ratios(joined: DataFrame) -> DataFrame:
+    """User×product rows beside their user's features (J5), with the ratios of both."""
+    return joined.select(
         "*",
         ratio("up_cnt", "usr_total_cnt").alias("up_usr_ratio"),
         ratio("up_reord_cnt", "usr_reord_cnt").alias("up_usr_reord_ratio"),

@@ -31,6 +31,69 @@ def chain(spark: SparkSession, sf_dir: str) -> MartChain:
     return _CHAINS[key]
 
 
+_TABLES: dict[tuple[str, str], dict] = {}
+
+
+def tables(spark: SparkSession, sf_dir: str) -> dict:
+    """The mart's stages as catalog tables bucketed by user, written once per application and state of the sources."""
+    from trolley.sources import catalog
+
+    digest = source_digest(spark, [table_path(sf_dir, n) for n in SOURCES])
+    key = (spark.sparkContext.applicationId, f"{sf_dir}:{digest}")
+    if key not in _TABLES:
+        c, made = chain(spark, sf_dir), {}
+        up = catalog.save_table(c.up_base, f"up_base_{digest}", "user_id", sort_by=["user_id", "product_id"])
+        made["up"] = up
+        for name, df in (("user_mart", c.user_mart), ("train_lines", c.train_lines)):
+            made[name] = catalog.save_table(df, f"{name}_{digest}", "user_id", heavy=up.heavy)
+        _TABLES[key] = made
+    return _TABLES[key]
+
+
+def table_queries() -> dict[str, Query]:
+    """IO4, IO6, J5, J6, J8 on catalog tables opened by name; M1, M9 with heavy keys joined apart."""
+    from trolley.operators import marts, skew
+    from trolley.sources import catalog
+
+    def joined(s, d):
+        t, b = tables(s, d), catalog.bucket_session(s)
+        return t, b, marts.with_user_ratios(catalog.join(b, t["up"], t["user_mart"], ["user_id"]))
+
+    def table_user_mart(s, d):
+        return tables(s, d)["user_mart"].read(s)
+
+    def table_user_product_mart(s, d):
+        return joined(s, d)[2].select(*marts.UP_MART_COLUMNS)
+
+    def table_labels(s, d):
+        """user×product rows of train users with their label, both sides from buckets."""
+        t, b = tables(s, d), catalog.bucket_session(s)
+        pairs = catalog.join(b, t["up"], t["train_lines"], ["user_id", "product_id"], "left")
+        return pairs.select("user_id", "product_id", "up_cnt", "order_id", "reordered")
+
+    def split_data_mart(s, d):
+        """M9: popular products' rows are joined apart."""
+        c = chain(s, d)
+        up = marts.with_user_ratios(c.up_base.join(c.user_mart, "user_id"))
+        return skew.split_join(up, c.product_mart, ["product_id"], share=SPLIT_SHARE).select(*marts.DATA_MART_COLUMNS)
+
+    def split_train_set(s, d):
+        """The label join with heavy users apart."""
+        c = chain(s, d)
+        labels = c.train_lines.select("user_id", "product_id", scalar.LABEL)
+        rows = c.data_mart.where(F.col("eval_set") == "train")
+        out = skew.split_join(rows, labels, ["user_id", "product_id"], "left", key="product_id", share=SPLIT_SHARE)
+        return out.select(*ID_COLUMNS, *scalar.MODEL_FEATURES, scalar.LABEL).fillna(0)
+
+    return {
+        "table_user_mart": table_user_mart,
+        "table_user_product_mart": table_user_product_mart,
+        "table_labels": table_labels,
+        "split_data_mart": split_data_mart,
+        "split_train_set": split_train_set,
+    }
+
+
 def _stage(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return getattr(chain(spark, sf_dir), name)
@@ -88,6 +151,7 @@ PR_SAMPLE_STEP = 50
 FOLD_SEED = 31
 FINE_CUT = 20.0  # cut of the many-valued score
 TOP_K = 10  # the report's length
+SPLIT_SHARE = 0.002  # of the rows: products above it are joined apart
 UNDEFINED_COLUMNS = [
     "up_usr_reord_ratio", "up_avg_prior_days", "up_max_prior_days", "up_min_prior_days", "usr_avg_prior_days", "reordered",
 ]
@@ -556,6 +620,7 @@ def model_queries() -> dict[str, Query]:
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(mart_queries())
+    out.update(table_queries())
     out.update(audit_queries())
     out.update(io_queries())
     out.update(result_queries())
