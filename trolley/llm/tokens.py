@@ -10,6 +10,9 @@ ids are joined. The result is the library's result for the whole text:
   per-character lower-casing never look across white space. A-Z are lower-cased beforehand, so that a chunk is kept
   once; not in texts with combining marks, where composition may depend on the letter's case.
 
+A chunk of plain letters, digits and signs is cut further, at the pre-tokenizer's own places, and each part goes to the
+library's BPE model itself, in its alphabet of bytes; any other chunk goes through the whole library.
+
 Python's ``\\s`` also holds U+001C to U+001F, which the tokenizer takes for symbols: such a text is encoded
 whole. Strings of special tokens inside a text are ordinary text.
 """
@@ -27,7 +30,21 @@ BYTE_CHUNKS = re.compile(r"\s*\S+|\s+")
 WORD_CHUNKS = re.compile(r"[^ \t-\r]+")
 _MARKS = re.compile("[\u0300-\u036f]")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
-MEMO_ENTRIES = 500_000  # per generation; two generations live at a time (about 200 MB a Python worker)
+#: Plain chunks and their pre-tokens: Latin letters, ASCII digits and ASCII signs but the apostrophe (contractions).
+_SIGNS = r"!-&(-/:-@\[-`{-~"
+_PLAIN = {
+    False: re.compile(rf" ?(?:[A-Za-zÀ-ÖØ-öø-ɏ]+|[0-9]+|[{_SIGNS}]+)+"),
+    True: re.compile(rf"(?:[a-zß-öø-ÿ]+|[0-9]+|[{_SIGNS}]+)+"),
+}
+_PARTS = {
+    False: re.compile(rf" ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[{_SIGNS}]+"),
+    True: re.compile(rf"[a-zß-öø-ÿ]+|[0-9]|[{_SIGNS}]+"),
+}
+#: Byte-level models write a byte as a character: printable ones as themselves, the others from 256 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTED)}
+MEMO_ENTRIES = 400_000  # chunks per generation; two generations live at a time (about 160 MB a Python worker)
+PART_ENTRIES = 200_000  # the same for the parts of chunks
 LONGEST_KEPT = 64  # characters of a chunk that is worth keeping
 
 
@@ -64,12 +81,25 @@ class Encoder:
         #: The narrowest type that holds every id of the vocabulary.
         self.dtype = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
         self.code = "H" if self.dtype == "<u2" else "I"
-        self.ids_memo = Memo(self._ids)
+        self.model = self.tok.model
+        self.plain, self.parts = _PLAIN[self.lower], _PARTS[self.lower]
+        self.ids_memo = Memo(self._chunk_ids)
+        self.part_memo = Memo(self._part_ids, PART_ENTRIES)
         self.span_memo = Memo(self._starts)
 
     def _ids(self, chunk: str) -> bytes:
         return array(self.code, self.tok.encode(chunk, add_special_tokens=False).ids).tobytes()
 
+    def _chunk_ids(self, chunk: str) -> bytes:
+        if len(chunk) > LONGEST_KEPT or not self.plain.fullmatch(chunk):
+            return self._ids(chunk)
+        return b"".join(map(self.part_memo.__getitem__, self.parts.findall(chunk)))
+
+    def _part_ids(self, part: str) -> bytes:
+        """The ids of one plain pre-token."""
+        made = self.model.tokenize(part.encode("utf-8").decode("latin-1").translate(_BYTES))
+        return array(self.code, [t.id for t in made]).tobytes()
+
     def _starts(self, chunk: str) -> bytes:
         spans = self.tok.encode(chunk, add_special_tokens=False).offsets
         return np.asarray(spans, dtype="<i4").reshape(-1, 2).tobytes()
