@@ -100,8 +100,26 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int | No
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 7) -> DataFrame:
-    """At most ``n`` rows, those with the smallest seeded hash of ``key`` (the same rows on every run)."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    """At most ``n`` different rows, those with the smallest seeded hash of ``key`` (the same rows on every run).
+
+    Hashes alone are ranked; then only the chosen rows are read with all their columns.
+    """
+    at, row = free_names(df, "at", "row")
+    hashed = df.withColumns({at: F.xxhash64(F.lit(seed), F.col(key)), row: F.xxhash64(*df.columns)})
+    few = store(hashed.select(at, row).distinct().orderBy(at, row).limit(n), "sample-keys")
+    return hashed.join(F.broadcast(few), [at, row], "left_semi").dropDuplicates([at, row]).drop(at, row)
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Column names like the given ones that ``df`` does not use (names differ by more than their case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n in taken:
+            n += "_"
+        taken.add(n)
+        out.append(n)
+    return out
 
 
 def one_blas_thread() -> None:

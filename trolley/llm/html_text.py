@@ -373,6 +373,10 @@ def layouts(page: str, other: str) -> list[str]:
     foot = _part(page, "footer") or "&copy; all rights reserved"
     strange = " ".join(html_lib.escape(t) for _, t in parse(_part(other, "article") or other).runs)[:400]
     teaser = strange[:120]
+    # A main part may be shorter than what stands around it: a heading and a sentence, or a sentence alone.
+    said = " ".join(t for _, t in parse(inner).runs).split()
+    heading, sentence = (html_lib.escape(" ".join(said[a:b])) for a, b in ((0, 6), (6, 18)))
+    long_foot = f"{foot} {strange[: 80 + 7 * (len(page) % 40)]}"
     comments = "".join(f'<div class="comment"><p>{strange[i * 90 : i * 90 + 90]}</p></div>' for i in range(3))
     box = f'<div class="ad" data-k="0">{teaser}</div>'
     notice = f'<div class="cookie-notice" data-k="0"><p>{teaser}</p></div>'
@@ -387,6 +391,10 @@ def layouts(page: str, other: str) -> list[str]:
         f'<div class="footer" data-k="0"><p>{foot}</p></div></body>',
         f'<body>{box}<nav data-k="0">{nav}</nav><article><div data-k="1">{inner}</div><div class="comments" data-k="0">'
         f'{comments}</div>{box}</article>{side}<footer data-k="0"><p>{foot}</p>{nav}</footer></body>',
+        f'<body><nav data-k="0">{nav}</nav>{box}<article data-k="1"><h1>{heading}</h1><p>{sentence}</p></article>'
+        f'<footer data-k="0">{long_foot}</footer></body>',
+        f'<body><header data-k="0">{nav}</header><div class="notice" data-k="0"><p>{strange[:300]}</p></div>'
+        f'<main data-k="1"><p>{sentence or heading}</p></main><footer data-k="0"><p>{long_foot}</p></footer></body>',
     ]
 
 

@@ -28,10 +28,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import WORD, ship_package, store
+from trolley.llm.common import WORD, free_names, ship_package, store
 
 SHARD_WORDS = 1 << 19
-MAX_SHARDS = 1 << 14  # per source
+PART = 1 << 12  # shards whose quotas are planned together; a source's seats go to its parts first
 MAX_BLOCK = 1024  # words
 
 
@@ -88,7 +88,7 @@ def fill_targets(sizes: Sequence[int], weights: Sequence[float], total: float, m
 
 def _take_shard(pdf: pd.DataFrame, seed: int, max_repeat: int) -> pd.DataFrame:
     """Words each document of one shard takes; the rows are sorted by the seeded order first."""
-    pdf = pdf.sort_values(["place", "doc_id", "size"], kind="stable", na_position="last")
+    pdf = pdf.sort_values(["place", "doc_id", "size", "mark"], kind="stable", na_position="last")
     size = pdf["size"].to_numpy(np.int64)
     end = np.cumsum(size)
     total = int(end[-1])
@@ -131,6 +131,7 @@ def mix(
             F.col("doc_id").cast("long").alias("doc_id"),
             F.col("source").cast("string").alias("source"),
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            F.xxhash64("text").alias("mark"),
             F.monotonically_increasing_id().alias("row"),
         ),
         "mix-sizes",
@@ -139,7 +140,7 @@ def mix(
 
 
 def take(sized: DataFrame, *, share: float, weights: Sequence[float], max_repeat: int, seed: int) -> DataFrame:
-    """``mix`` for a stored table (doc_id, source, size, row)."""
+    """``mix`` for a stored table (doc_id, source, size, mark, row); ``mark`` is a hash of the text, for ties."""
     spark = sized.sparkSession
     ship_package(spark)
     # One row per source: names, sizes. This is the mix's configuration, not data.
@@ -151,7 +152,7 @@ def take(sized: DataFrame, *, share: float, weights: Sequence[float], max_repeat
     least = min((t for t in targets if t > 0), default=1.0)
     block = int(min(MAX_BLOCK, max(1, least // 128)))
     quotas = sainte_lague(targets, round(sum(targets) / block))
-    shards = [max(1, min(MAX_SHARDS, -(-n // SHARD_WORDS))) for n in sizes]
+    shards = [max(1, -(-n // SHARD_WORDS)) for n in sizes]
     plan = spark.createDataFrame(
         [(i, r["source"], sizes[i], targets[i], quotas[i], shards[i]) for i, r in enumerate(found)],
         "source_no int, source string, source_size long, target double, seats long, shards int",
@@ -163,17 +164,24 @@ def take(sized: DataFrame, *, share: float, weights: Sequence[float], max_repeat
         .withColumn("place", F.xxhash64(F.lit(seed), "doc_id"))
         .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.col("shards")).cast("int"))
     )
-    shard_words = keyed.groupBy("source_no", "shard", "seats").agg(F.sum("size").alias("words"))
-
-    def quota(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("shard")
-        words = pdf["words"].tolist()
-        blocks = [max(1, round(x / block)) if x else 0 for x in words]
-        got = sainte_lague(words, int(pdf["seats"].iloc[0]), [max_repeat * b for b in blocks])
-        return pd.DataFrame({"source_no": pdf["source_no"], "shard": pdf["shard"], "blocks": blocks, "quota": got})
-
-    quotas_df = shard_words.groupBy("source_no").applyInPandas(
-        quota, "source_no int, shard int, blocks long, quota long"
+    words = F.col("words")
+    shard_words = keyed.groupBy("source_no", "shard", "seats").agg(F.sum("size").alias("words")).select(
+        "*", F.floor(F.col("shard") / PART).cast("int").alias("part"),
+        F.when(words > 0, F.greatest(F.lit(1), F.bround(words / block))).otherwise(0).cast("long").alias("blocks"),
+    )
+
+    def quota(pdf: pd.DataFrame, by: str, seats: str, out: str) -> pd.DataFrame:
+        pdf = pdf.sort_values(by)
+        most = [max_repeat * b for b in pdf["blocks"].tolist()]
+        got = sainte_lague(pdf["words"].tolist(), int(pdf[seats].iloc[0]), most)
+        return pdf[["source_no", by]].assign(**({"blocks": pdf["blocks"]} if by == "shard" else {}), **{out: got})
+
+    parts = shard_words.groupBy("source_no", "part", "seats").agg(F.sum("words").alias("words"), F.sum("blocks").alias("blocks"))
+    part_seats = parts.groupBy("source_no").applyInPandas(
+        lambda pdf: quota(pdf, "part", "seats", "part_seats"), "source_no int, part int, part_seats long"
+    )
+    quotas_df = shard_words.join(part_seats, ["source_no", "part"]).groupBy("source_no", "part").applyInPandas(
+        lambda pdf: quota(pdf, "shard", "part_seats", "quota"), "source_no int, shard int, blocks long, quota long"
     )
     return (
         keyed.join(quotas_df, ["source_no", "shard"])
@@ -190,18 +198,20 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     numbers are written with the rows: two scans of the same files need not number them alike.
     """
     cols = docs.columns
-    rows = store(docs.withColumn("__row__", F.monotonically_increasing_id()), "mix-input")
+    row, times, copy = free_names(docs, "row", "times", "copy")
+    rows = store(docs.withColumn(row, F.monotonically_increasing_id()), "mix-input")
     sized = rows.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.col("__row__").alias("row"),
+        F.xxhash64("text").alias("mark"),
+        F.col(row).alias("row"),
     )
     o = {"share": 1.5, "weights": (3, 1, 2), "max_repeat": 2, "seed": 2025} | options
     got = take(store(sized, "mix-sizes"), **o)
     u = F.pmod(F.xxhash64(F.lit(o["seed"] + 2), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     copies = got.where(F.col("taken") > 0).select(
-        F.col("row").alias("__row__"), F.floor(F.col("taken") / F.col("size") + u).cast("int").alias("__copies__")
+        F.col("row").alias(row), F.floor(F.col("taken") / F.col("size") + u).cast("int").alias(times)
     )
-    out = rows.join(copies.where("__copies__ > 0"), "__row__")
-    return out.withColumn("__copy__", F.explode(F.sequence(F.lit(1), F.col("__copies__")))).select(*cols)
+    out = rows.join(copies.where(F.col(times) > 0), row)
+    return out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*cols)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import ship_package, store
+from trolley.llm.common import free_names, ship_package, store
 from trolley.llm.quality_model import _words as word_hashes
 
 WIDTH = 3
@@ -391,6 +391,7 @@ def first_documents(docs: DataFrame) -> DataFrame:
 
     The rows' numbers are written with the rows: two scans of the same files need not number them alike.
     """
-    rows = store(docs.withColumn("__row__", F.monotonically_increasing_id()), "dedup-input")
-    keep = near_dedup(rows, "__row__").where("first").select(F.col("row").alias("__row__"))
-    return rows.join(keep, "__row__", "left_semi").select(*docs.columns)
+    (number,) = free_names(docs, "row")
+    rows = store(docs.withColumn(number, F.monotonically_increasing_id()), "dedup-input")
+    keep = near_dedup(rows, number).where("first").select(F.col("row").alias(number))
+    return rows.join(keep, number, "left_semi").select(*docs.columns)

@@ -171,8 +171,11 @@ def write_tokens(
 
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        # The text's hash parts the rows of one doc_id (or of none) that is on many rows.
+        .withColumn("mark", F.xxhash64("text"))
+        .repartitionByRange("doc_id", "mark")
+        .sortWithinPartitions("doc_id", "mark", "text")
+        .select("doc_id", "text")
     )
     index = f"{folder}/index"
     ordered.mapInArrow(run, INDEX_SCHEMA).write.parquet(index)
