@@ -17,7 +17,7 @@ are ranked; nothing is capped. Equal vectors lie in different blocks, so no valu
 
 Defined cases: vectors that are NULL, empty, zero or hold NULL or non-finite components take no part, nor do vectors of
 another length than most; NULL keys take no part; repeated keys are rows of their own (a query's own key is never
-its neighbour); with fewer than k candidates all are returned; an empty table gives no rows.
+its neighbour); with fewer than k candidates all are returned; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

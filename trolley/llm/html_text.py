@@ -15,8 +15,8 @@ The text: character references decoded, white space of a block one space, trimme
 
 Defined cases: NULL or empty html and pages without main text give an empty text; unclosed and crossing tags are closed
 as browsers do for paragraphs and list items; a silent element (``SILENT``) without its end tag ends at the next block or with
-the block it stands in, a head at the first thing that no head holds; a cut-off tag at the end is dropped; repeated rows give equal results; an empty
-table gives no rows.
+the block it stands in, a head at the first thing that no head holds; a cut-off tag at the end is dropped; repeated rows give equal results; very long
+pages are read whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ document's log-odds are the means of its buckets' numbers.
 
 Defined cases: NULL and empty texts have no features and get the score of the bias; without usable labels every score
 is 0.5; with labels of one class the scores approach that class; repeated rows get equal scores; labels, lang, source
-and doc_id are never inputs of a score; an empty table gives no rows.
+and doc_id are never inputs of a score; labels without a document count nowhere; very long texts are hashed chunk by chunk, to
+their end; an empty table gives no rows; other columns are ignored by ``quality`` and kept by ``good_documents``.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ these thresholds hold, the document is of low quality"; it is learnt from the st
 The list becomes one chained ``when``. No Python runs on rows.
 
 Defined cases: NULL and empty texts have statistics 0 and fail the base rule; no usable labels give an empty list
-(every document that passes the base rule is kept); repeated rows get equal results; an empty table gives no rows.
+(every document that passes the base rule is kept); repeated rows get equal results; very long
+texts are counted whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

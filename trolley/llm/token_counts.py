@@ -11,8 +11,8 @@ allocated by an explicit rule:
 Sections partition the text, so under every rule the sections' counts add up to the document's.
 
 Defined cases: a NULL or empty text has one empty section without tokens; a token without characters of its own
-(a later byte of a character) has the span of that character; repeated rows give repeated results; an empty table
-gives no rows.
+(a later byte of a character) has the span of that character; repeated rows give repeated results; very long
+texts are encoded whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

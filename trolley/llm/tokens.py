@@ -30,12 +30,8 @@ BYTE_CHUNKS = re.compile(r"\s*\S+|\s+")
 WORD_CHUNKS = re.compile(r"[^ \t-\r]+")
 _MARKS = re.compile("[\u0300-\u036f]")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
-#: Plain chunks and their pre-tokens: Latin letters, ASCII digits and ASCII signs but the apostrophe (contractions).
+#: The pre-tokens of plain chunks: Latin letters, ASCII digits and ASCII signs but the apostrophe (contractions).
 _SIGNS = r"!-&(-/:-@\[-`{-~"
-_PLAIN = {
-    False: re.compile(rf" ?(?:[A-Za-zÀ-ÖØ-öø-ɏ]+|[0-9]+|[{_SIGNS}]+)+"),
-    True: re.compile(rf"(?:[a-zß-öø-ÿ]+|[0-9]+|[{_SIGNS}]+)+"),
-}
 _PARTS = {
     False: re.compile(rf" ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[{_SIGNS}]+"),
     True: re.compile(rf"[a-zß-öø-ÿ]+|[0-9]|[{_SIGNS}]+"),
@@ -43,8 +39,9 @@ _PARTS = {
 #: Byte-level models write a byte as a character: printable ones as themselves, the others from 256 on.
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTED)}
-MEMO_ENTRIES = 400_000  # chunks per generation; two generations live at a time (about 160 MB a Python worker)
-PART_ENTRIES = 200_000  # the same for the parts of chunks
+_SPACE = chr(_BYTES[32])
+MEMO_ENTRIES = 700_000  # chunks per generation; two generations live at a time (about 300 MB a Python worker)
+PART_ENTRIES = 250_000  # the same for the parts of chunks
 LONGEST_KEPT = 64  # characters of a chunk that is worth keeping
 
 
@@ -82,7 +79,7 @@ class Encoder:
         self.dtype = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
         self.code = "H" if self.dtype == "<u2" else "I"
         self.model = self.tok.model
-        self.plain, self.parts = _PLAIN[self.lower], _PARTS[self.lower]
+        self.parts = _PARTS[self.lower]
         self.ids_memo = Memo(self._chunk_ids)
         self.part_memo = Memo(self._part_ids, PART_ENTRIES)
         self.span_memo = Memo(self._starts)
@@ -91,13 +88,17 @@ class Encoder:
         return array(self.code, self.tok.encode(chunk, add_special_tokens=False).ids).tobytes()
 
     def _chunk_ids(self, chunk: str) -> bytes:
-        if len(chunk) > LONGEST_KEPT or not self.plain.fullmatch(chunk):
+        parts = self.parts.findall(chunk)
+        if len(chunk) > LONGEST_KEPT or sum(map(len, parts)) != len(chunk):  # not plain throughout
             return self._ids(chunk)
-        return b"".join(map(self.part_memo.__getitem__, self.parts.findall(chunk)))
+        return b"".join(map(self.part_memo.__getitem__, parts))
 
     def _part_ids(self, part: str) -> bytes:
         """The ids of one plain pre-token."""
-        made = self.model.tokenize(part.encode("utf-8").decode("latin-1").translate(_BYTES))
+        if part.isascii():
+            made = self.model.tokenize(part.replace(" ", _SPACE))
+        else:
+            made = self.model.tokenize(part.encode("utf-8").decode("latin-1").translate(_BYTES))
         return array(self.code, [t.id for t in made]).tobytes()
 
     def _starts(self, chunk: str) -> bytes:
