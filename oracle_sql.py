@@ -672,6 +672,22 @@ def all_queries() -> dict[str, str]:
     out["table_user_product_mart"] = out["user_product_mart"]
     out["split_data_mart"] = out["data_mart"]
     out["split_train_set"] = out["train_set"]
+    out["bitmap_aisle_features"] = out["aisle_features"]
+    out["bitmap_product_users"] = with_ctes("SELECT product_id, count(DISTINCT user_id) AS prd_unq_usr_cnt FROM opp GROUP BY 1")
+    out["coverage_once"] = with_ctes(
+        "SELECT by_keys, count(*) AS lines, count(*) FILTER (WHERE NOT found) AS missing, "
+        "count(DISTINCT key) FILTER (WHERE NOT found) AS keys_missing FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{name}' AS by_keys, {key} AS key, {test} IN (SELECT {test} FROM data_mart WHERE up_cnt > 1) AS found "
+            "FROM train_lines"
+            for name, key, test in (
+                ("user_id+product_id", "user_id || ':' || product_id", "(user_id, product_id)"),
+                ("user_id", "CAST(user_id AS VARCHAR)", "user_id"),
+                ("product_id", "CAST(product_id AS VARCHAR)", "product_id"),
+            )
+        )
+        + ") GROUP BY by_keys"
+    )
     out["table_labels"] = with_ctes(
         "SELECT u.user_id, u.product_id, u.up_cnt, t.order_id, t.reordered FROM up_grp u "
         "LEFT JOIN train_lines t USING (user_id, product_id)"

@@ -51,9 +51,11 @@ def tables(spark: SparkSession, sf_dir: str) -> dict:
 
 
 def table_queries() -> dict[str, Query]:
-    """IO4, IO6, J5, J6, J8 on catalog tables opened by name; M1, M9 with heavy keys joined apart."""
-    from trolley.operators import marts, skew
+    """IO4, IO6, J5, J6, J8 on catalog tables opened by name; M9, M11 with heavy keys apart; A3, M3, J9-J11 in one pass."""
+    from trolley.operators import bitmaps, coverage, marts, skew
+    from trolley.session import stage_dir
     from trolley.sources import catalog
+    from trolley.sources.io import materialize
 
     def joined(s, d):
         t, b = tables(s, d), catalog.bucket_session(s)
@@ -85,7 +87,29 @@ def table_queries() -> dict[str, Query]:
         out = skew.split_join(rows, labels, ["user_id", "product_id"], "left", key="product_id", share=SPLIT_SHARE)
         return out.select(*ID_COLUMNS, *scalar.MODEL_FEATURES, scalar.LABEL).fillna(0)
 
+    def bitmap_aisle_features(s, d):
+        """M3 from the stored bitmaps of each product's users."""
+        c = chain(s, d)
+        bits = materialize(
+            bitmaps.id_bitmaps(c.up_base, ["product_id"], "user_id"), stage_dir(s, f"bitmaps-{uuid.uuid4().hex}")
+        )
+        totals = c.up_base.groupBy("product_id").agg(F.sum("up_cnt").alias("prd_total_cnt"))
+        return bitmaps.aisle_features(bits, totals, c.prod_aisle)
+
+    def bitmap_product_users(s, d):
+        """A3: distinct users per product, from bitmaps of the lines themselves."""
+        bits = bitmaps.id_bitmaps(chain(s, d).opp, ["product_id"], "user_id")
+        return bitmaps.distinct_counts(bits, ["product_id"], "prd_unq_usr_cnt")
+
+    def coverage_once(s, d):
+        """J9-J11, Q5 in one pass over the lines and one over the feature rows."""
+        c = chain(s, d)
+        return coverage.coverage(c.train_lines, c.data_mart.where(COVERED), ["user_id", "product_id"])
+
     return {
+        "bitmap_aisle_features": bitmap_aisle_features,
+        "bitmap_product_users": bitmap_product_users,
+        "coverage_once": coverage_once,
         "table_user_mart": table_user_mart,
         "table_user_product_mart": table_user_product_mart,
         "table_labels": table_labels,
@@ -151,6 +175,7 @@ PR_SAMPLE_STEP = 50
 FOLD_SEED = 31
 FINE_CUT = 20.0  # cut of the many-valued score
 TOP_K = 10  # the report's length
+COVERED = "up_cnt > 1"  # feature rows that the coverage report takes as there: the others make gaps for it to find
 SPLIT_SHARE = 0.002  # of the rows: products above it are joined apart
 UNDEFINED_COLUMNS = [
     "up_usr_reord_ratio", "up_avg_prior_days", "up_max_prior_days", "up_min_prior_days", "usr_avg_prior_days", "reordered",
@@ -453,7 +478,7 @@ def stump_queries() -> dict[str, Query]:
 def model_queries() -> dict[str, Query]:
     """Fitted models, so no SQL oracle (row-count check only)."""
     from trolley.operators import boosting, models, tuning
-    from trolley.plans import modeling
+    from trolley.plans import fitted, modeling
 
     def binary(s, d):
         return modeling.prepare_binary(chain(s, d).train_set)
@@ -461,15 +486,25 @@ def model_queries() -> dict[str, Query]:
     def multi(s, d):
         return modeling.prepare_multiclass(s.read.parquet(table_path(d, "embeddings")))
 
+    def kept(s, d, name, sources, fit, *params):
+        """A model fit once for the state of its sources, opened from its files after that."""
+        digest = source_digest(s, [table_path(d, n) for n in sources])
+        return fitted.stored_model(s, fitted.model_path(s, name, d, digest, *params), fit)
+
+    def forest(s, d, p):
+        return kept(s, d, "forest", SOURCES, lambda: models.fit_forest(p.train), p.features)
+
+    def deep_tree(s, d, p):
+        return kept(s, d, "tree", ["embeddings"], lambda: models.fit_tree(p.train, label="label", maxDepth=10), 10)
+
     def tree_predict(s, d):
         p = multi(s, d)
-        m = models.fit_tree(p.train, label="label", maxDepth=10)
+        m = deep_tree(s, d, p)
         return models.predict(m, p.test).select("vec_id", "label", "prediction")
 
     def forest_predict(s, d):
         p = binary(s, d)
-        m = models.fit_forest(p.train)
-        return modeling.binary_predictions(m, p.test).drop("rawPrediction")
+        return modeling.binary_predictions(forest(s, d, p), p.test).drop("rawPrediction")
 
     def gbt_predict(s, d):
         p = binary(s, d)
@@ -498,11 +533,11 @@ def model_queries() -> dict[str, Query]:
 
     def feature_importance(s, d):
         p = binary(s, d)
-        return models.feature_importance(models.fit_forest(p.train), p.features)
+        return models.feature_importance(forest(s, d, p), p.features)
 
     def tree_summary(s, d):
         p = multi(s, d)
-        return models.tree_summary(models.fit_tree(p.train, label="label", maxDepth=10))
+        return models.tree_summary(deep_tree(s, d, p))
 
     def multiclass_metrics(s, d):
         p = multi(s, d)
@@ -511,18 +546,18 @@ def model_queries() -> dict[str, Query]:
 
     def auc_binned(s, d):
         p = binary(s, d)
-        pred = models.predict(models.fit_forest(p.train), p.test)
+        pred = models.predict(forest(s, d, p), p.test)
         auc = evaluate.auc_binned(pred, label="reordered")
         return s.createDataFrame([("areaUnderROC", auc)], "metric string, value double")
 
     def model_report(s, d):
         p = binary(s, d)
-        pred = modeling.binary_predictions(models.fit_forest(p.train), p.test)
+        pred = modeling.binary_predictions(forest(s, d, p), p.test)
         return evaluate.evaluate_report(pred, label="label", prediction="prediction", score="1_proba")
 
     def model_roc(s, d):
         p = binary(s, d)
-        pred = modeling.binary_predictions(models.fit_forest(p.train), p.test)
+        pred = modeling.binary_predictions(forest(s, d, p), p.test)
         return evaluate.roc_curve(pred, label="label", score="1_proba")
 
     def accuracy():
