@@ -53,6 +53,7 @@ PER_CLASS = 8000  # labelled documents of each class that may be learnt from
 MIN_CONTEXTS = 4
 MIN_PRECISION = 0.9  # a unit's share of toxic documents among the documents that hold it ...
 MIN_BOUND = 0.5  # ... and the lower bound of that share (Wilson, 95 %)
+MEMO_WORDS = 150_000  # words remembered per generation (``tokens.Memo``)
 FALSE_UNITS = 0.5  # units that may be expected to pass by chance, of all candidates together
 SEED_WEIGHT = 0.5  # of a seed word that the labelled documents neither hold nor contradict
 PREFIXES = (4, 5, 6, 7, 8, 9)
@@ -189,7 +190,7 @@ def document_kinds(text: str, lexicon: Lexicon, weight_of: dict[str, float]) ->
 
 def known_weights(lexicon: Lexicon) -> Memo:
     """word → weight, asked of the lexicon once while it is remembered."""
-    return Memo(lexicon.weight)
+    return Memo(lexicon.weight, MEMO_WORDS)
 
 
 def score_of(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -266,7 +267,7 @@ def units_of(known: frozenset[str] | None = None) -> Memo:
         every = (word, *(word[:k] + "*" for k in PREFIXES if len(word) > k))
         return every if known is None else tuple(u for u in every if u in known)
 
-    return Memo(made)
+    return Memo(made, MEMO_WORDS if known is not None else MEMO_WORDS // 8)  # all units of a word take more room
 
 
 def clean_texts(texts: DataFrame) -> DataFrame:
