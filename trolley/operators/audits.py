@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from trolley.functions.scalar import is_missing
 
+# Fixed values, here and below: the reports' label columns and names (gubun, cnt, pair_count, only_..._count).
+
 
 def null_counts(df: DataFrame, *, nan: bool = True) -> DataFrame:
     """Q1: one row, one column per input column with its NULL (and, for float/double, NaN) count."""
