@@ -40,8 +40,8 @@ _PARTS = {
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTED)}
 _SPACE = chr(_BYTES[32])
-MEMO_ENTRIES = 350_000  # chunks per generation; two generations live at a time (about 150 MB a Python worker)
-PART_ENTRIES = 100_000  # the same for the parts of chunks
+MEMO_ENTRIES = 250_000  # chunks per generation; two generations live at a time (about 110 MB a Python worker)
+PART_ENTRIES = 60_000  # the same for the parts of chunks
 LONGEST_KEPT = 64  # characters of a chunk that is worth keeping
 
 

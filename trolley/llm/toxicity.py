@@ -53,7 +53,7 @@ PER_CLASS = 8000  # labelled documents of each class that may be learnt from
 MIN_CONTEXTS = 4
 MIN_PRECISION = 0.9  # a unit's share of toxic documents among the documents that hold it ...
 MIN_BOUND = 0.5  # ... and the lower bound of that share (Wilson, 95 %)
-MEMO_WORDS = 150_000  # words remembered per generation (``tokens.Memo``)
+MEMO_WORDS = 60_000  # words remembered per generation (``tokens.Memo``)
 FALSE_UNITS = 0.5  # units that may be expected to pass by chance, of all candidates together
 SEED_WEIGHT = 0.5  # of a seed word that the labelled documents neither hold nor contradict
 PREFIXES = (4, 5, 6, 7, 8, 9)
