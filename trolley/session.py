@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -57,6 +59,47 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+PARTITION_BYTES = 4 << 20  # of source files for one shuffle partition; Spark joins small ones at run time
+SPLIT_BYTES = 16 << 20  # of stored files for one scan task: rows of many features are far larger in memory
+
+
+def session_beside(spark: SparkSession) -> SparkSession:
+    """A session with the same catalog and a copy of the settings, so that the user's session is left as it is."""
+    s = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if spark.conf.isModifiable(k):
+            s.conf.set(k, v)
+    return s
+
+
+def sized_session(spark: SparkSession, source_bytes: int) -> SparkSession:
+    """A session beside the given one whose tasks keep their size as the sources grow.
+
+    The number of shuffle partitions is at least one for ``PARTITION_BYTES`` of the sources (a fixed one lets sorts spill
+    more and more), and a scan task reads at most ``SPLIT_BYTES``.
+    """
+    s = session_beside(spark)
+    wanted = -(-source_bytes // PARTITION_BYTES)
+    if wanted > int(s.conf.get("spark.sql.shuffle.partitions")):
+        s.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    split = s._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    s.conf.set("spark.sql.files.maxPartitionBytes", str(min(split, SPLIT_BYTES)))
+    return s
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session's settings while a stage is built; put back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def stage_dir(spark: SparkSession, name: str) -> str:
     """A per-application folder below the checkpoint folder for written stage tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -94,7 +94,7 @@ def materialize(df: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -
     Reading the files back cuts the lineage, keeps column pruning and filter pushdown for later queries, and a
     lost executor then costs a file re-read instead of a recomputation.
     """
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
