@@ -36,6 +36,7 @@ DATA_MART_COLUMNS = [
     "user_id", "product_id", "order_id", *UP_FEATURES, *USER_FEATURES, "eval_set", "days_since_prior_order",
     *PRODUCT_FEATURES,
 ]
+LABELS = "labels"  # of the stored data mart
 _DAYS = "days_since_prior_order"
 _HELPERS = ["_days_sum", "_days_n", "_dow_sum", "_hour_sum"]
 
@@ -50,24 +51,33 @@ def prior_lines(priors: DataFrame, orders: DataFrame) -> DataFrame:
 
 def _up_base(opp: DataFrame) -> DataFrame:
     """User×product features plus the sums/counts the roll-ups need (one shuffle of the lines)."""
-    return opp.groupBy("user_id", "product_id").agg(
+    # Averages are sums over counts (exact: whole numbers), so that the shuffled rows hold each sum once.
+    g = opp.groupBy("user_id", "product_id").agg(
         F.count(F.lit(1)).alias("up_cnt"),
         F.sum("reordered").alias("up_reord_cnt"),
+        F.count("reordered").alias("_reord_n"),
         flag_count(F.col("reordered") == 0).alias("up_no_reord_cnt"),
-        F.avg("reordered").alias("up_reoredered_avg"),
         F.max("order_number").alias("up_max_ord_num"),
         F.min("order_number").alias("up_min_ord_num"),
-        F.avg("add_to_cart_order").alias("up_avg_cart"),
-        F.avg(_DAYS).alias("up_avg_prior_days"),
+        F.sum("add_to_cart_order").alias("_cart_sum"),
+        F.count("add_to_cart_order").alias("_cart_n"),
         F.max(_DAYS).alias("up_max_prior_days"),
         F.min(_DAYS).alias("up_min_prior_days"),
-        F.avg("order_dow").alias("up_avg_ord_dow"),
-        F.avg("order_hour_of_day").alias("up_avg_ord_hour"),
         F.sum(_DAYS).alias("_days_sum"),
         F.count(_DAYS).alias("_days_n"),
         F.sum("order_dow").alias("_dow_sum"),
+        F.count("order_dow").alias("_dow_n"),
         F.sum("order_hour_of_day").alias("_hour_sum"),
+        F.count("order_hour_of_day").alias("_hour_n"),
     )
+    averages = {
+        "up_reoredered_avg": ratio("up_reord_cnt", "_reord_n"),
+        "up_avg_cart": ratio("_cart_sum", "_cart_n"),
+        "up_avg_prior_days": ratio("_days_sum", "_days_n"),
+        "up_avg_ord_dow": ratio("_dow_sum", "_dow_n"),
+        "up_avg_ord_hour": ratio("_hour_sum", "_hour_n"),
+    }
+    return g.select(*[averages[c].alias(c) if c in averages else c for c in UP_GROUP_COLUMNS], *_HELPERS)
 
 
 def user_product_features(opp: DataFrame) -> DataFrame:
@@ -234,6 +244,22 @@ def train_set(dm: DataFrame, tlines: DataFrame, *, fill: bool = True) -> DataFra
     return out.fillna(0) if fill else out
 
 
+def labelled_data_mart(up: DataFrame, umart: DataFrame, pmart: DataFrame, tlines: DataFrame) -> DataFrame:
+    """The data mart with ``labels``, an array of the labels of the row's train lines (NULL if none)."""
+    # Dealt out and sorted by user once, while the rows are narrow; a user has at most one row for each product.
+    by_user = tlines.repartition("user_id")
+    pairs = by_user.groupBy("user_id", "product_id").agg(F.collect_list(F.struct(LABEL)).alias(LABELS))
+    rows = up.repartition("user_id").join(pairs, ["user_id", "product_id"], "left")
+    return _up_with_user(rows, umart).join(pmart, "product_id").select(*DATA_MART_COLUMNS, LABELS)
+
+
+def unfold_labels(labelled: DataFrame, *, fill: bool = True) -> DataFrame:
+    """M11 from ``labelled_data_mart``, without an exchange: the rows of ``train_set``, one for each label or one without."""
+    rows = labelled.where(F.col("eval_set") == "train").withColumn("_label", F.explode_outer(LABELS))
+    out = rows.select(*ID_COLUMNS, *MODEL_FEATURES, F.col(f"_label.{LABEL}").alias(LABEL))
+    return out.fillna(0) if fill else out
+
+
 def test_set(dm: DataFrame) -> DataFrame:
     """Rows of test users, ids kept for the submission."""
     return dm.where(F.col("eval_set") == "test").select(*ID_COLUMNS, *MODEL_FEATURES)
