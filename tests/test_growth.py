@@ -72,6 +72,12 @@ def test_shuffle_partitions_grow_with_the_sources(spark):
     assert large.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
 
 
+def test_stages_of_many_features_are_compiled(spark):
+    work = session.sized_session(spark, 1)
+    assert int(work.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000  # the JVM's own bound
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) > 8000
+
+
 def test_cart_positions_need_no_stored_copy(spark, monkeypatch):
     def stored(*args, **kw):
         raise AssertionError("the lines are stored for their cart positions")

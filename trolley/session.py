@@ -60,6 +60,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 PARTITION_BYTES = 4 << 20  # of source files for one shuffle partition; Spark joins small ones at run time
+JIT_BYTES = 8000  # of a generated method: the JVM never compiles a longer one, and rows of many features make such
 SPLIT_BYTES = 16 << 20  # of stored files for one scan task: rows of many features are far larger in memory
 
 
@@ -76,7 +77,8 @@ def sized_session(spark: SparkSession, source_bytes: int) -> SparkSession:
     """A session beside the given one whose tasks keep their size as the sources grow.
 
     The number of shuffle partitions is at least one for ``PARTITION_BYTES`` of the sources (a fixed one lets sorts spill
-    more and more), and a scan task reads at most ``SPLIT_BYTES``.
+    more and more), and a scan task reads at most ``SPLIT_BYTES``. Stages whose generated method is longer than ``JIT_BYTES``
+    run operator by operator instead of interpreted.
     """
     s = session_beside(spark)
     wanted = -(-source_bytes // PARTITION_BYTES)
@@ -84,6 +86,8 @@ def sized_session(spark: SparkSession, source_bytes: int) -> SparkSession:
         s.conf.set("spark.sql.shuffle.partitions", str(wanted))
     split = s._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     s.conf.set("spark.sql.files.maxPartitionBytes", str(min(split, SPLIT_BYTES)))
+    limit = int(s.conf.get("spark.sql.codegen.hugeMethodLimit"))
+    s.conf.set("spark.sql.codegen.hugeMethodLimit", str(min(limit, JIT_BYTES)))
     return s
 
 
