@@ -78,6 +78,17 @@ def test_stages_of_many_features_are_compiled(spark):
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) > 8000
 
 
+def test_joined_partitions_are_no_larger_than_a_scan_task(spark):
+    work = session.sized_session(spark, 1)
+    assert int(work.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) == session.SPLIT_BYTES
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        small = session.sized_session(spark, 1)
+        assert int(small.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) == 1 << 20
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
 def test_cart_positions_need_no_stored_copy(spark, monkeypatch):
     def stored(*args, **kw):
         raise AssertionError("the lines are stored for their cart positions")

@@ -77,7 +77,8 @@ def sized_session(spark: SparkSession, source_bytes: int) -> SparkSession:
     """A session beside the given one whose tasks keep their size as the sources grow.
 
     The number of shuffle partitions is at least one for ``PARTITION_BYTES`` of the sources (a fixed one lets sorts spill
-    more and more), and a scan task reads at most ``SPLIT_BYTES``. Stages whose generated method is longer than ``JIT_BYTES``
+    more and more), and a scan task reads at most ``SPLIT_BYTES``. Shuffle partitions are joined up to that size: each is a
+    stored file of one row group, which a scan does not split. Stages whose generated method is longer than ``JIT_BYTES``
     run operator by operator instead of interpreted.
     """
     s = session_beside(spark)
@@ -86,6 +87,9 @@ def sized_session(spark: SparkSession, source_bytes: int) -> SparkSession:
         s.conf.set("spark.sql.shuffle.partitions", str(wanted))
     split = s._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     s.conf.set("spark.sql.files.maxPartitionBytes", str(min(split, SPLIT_BYTES)))
+    joined = s._jsparkSession.sessionState().conf().getConfString("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+    bytes_of = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    s.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(bytes_of(joined), SPLIT_BYTES)))
     limit = int(s.conf.get("spark.sql.codegen.hugeMethodLimit"))
     s.conf.set("spark.sql.codegen.hugeMethodLimit", str(min(limit, JIT_BYTES)))
     return s
