@@ -10,7 +10,8 @@ from trolley.llm.common import stage_path
 from trolley.llm.packing import first_basis, knapsack, line_cuts, pack, place_remainder, round_plan, sequences
 from trolley.llm.token_counts import line_sections, token_counts
 from trolley.llm.token_output import ShardReader, read_documents, write_tokens
-from trolley.llm.tokens import encoder, vocabulary, widen
+from trolley.llm import tokens
+from trolley.llm.tokens import Encoder, encoder, vocabulary, widen
 
 WORDS, BYTES = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -21,6 +22,24 @@ def plain(name):
     return t
 
 
+@pytest.mark.parametrize("name", [WORDS, BYTES])
+def test_unknown_chunks_of_many_texts_are_encoded_together(name, monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_ENTRIES", 50)
+    monkeypatch.setattr(tokens, "BLOCK_CHARS", 400)
+    monkeypatch.setattr(tokens, "CALL_CHUNKS", 7)
+    rng = random.Random(9)
+    words = ["Zoë", "naïveté", "x1,y", "don't", "漢字", "ÀÁ", "a\x01b", "c\x02", "\x1c", "e\u0301", "w" * 70, "\n", ""]
+    words += ["".join(rng.choices("abzéßÿÀ1.,-", k=rng.randint(1, 9))) for _ in range(300)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 30))) for _ in range(200)]
+    enc, tok = Encoder(vocabulary(name)), plain(name)
+    assert enc.plain is not None
+    got = list(enc.encode_all(texts))
+    assert len(got) == len(texts)
+    for text, ids in zip(texts, got):
+        assert np.frombuffer(widen(ids, enc.dtype), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
+    assert len(enc.young) < 400 and not any(len(c) > tokens.LONGEST_KEPT for c in (*enc.young, *enc.old))
+
+
 @pytest.mark.parametrize("name", [WORDS, BYTES])
 def test_chunked_encoding_is_the_librarys(name):
     rng = random.Random(4)

@@ -245,8 +245,8 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int, cap: int, keep_ids: b
             enc = encoder(tokenizer)
             end, size = enc.pack(end_id), np.dtype(enc.dtype).itemsize
             cols = {f: [] for f in ("n", "before", "crc", "len", "rank", "rem", "ids")}
-            for t in b.column(1).to_pylist():
-                ids = enc.encode(t or "") + end
+            for made in enc.encode_all(t or "" for t in b.column(1).to_pylist()):
+                ids = made + end
                 n = len(ids) // size
                 k, r = divmod(n, cap)
                 full = widen(ids[: size * cap * k], enc.dtype)

@@ -156,8 +156,8 @@ def write_tokens(
                 f"{folder}/shards", f"shard-{shard:06d}-{ctx.taskAttemptId()}.arrow", seq_len, batch_rows, enc.dtype
             )
             at, n = [], []
-            for t in texts:
-                ids = enc.encode(t or "") + end
+            for made in enc.encode_all(t or "" for t in texts):
+                ids = made + end
                 at.append(writer.append(ids))
                 n.append(len(ids) // writer.item)
             rows = len(n)
