@@ -54,6 +54,17 @@ def test_chunked_encoding_is_the_librarys(name):
         assert [tuple(x) for x in enc.spans(text).tolist()] == ref.offsets or name == WORDS, repr(text)
 
 
+def test_a_word_is_one_chunk_whatever_signs_follow():
+    enc, tok = Encoder(vocabulary(BYTES)), plain(BYTES)
+    words = ["the", "naïve", "Größe", "x", "2024"]
+    ends = ["", ",", ".", "...", "!?", ";", ":", ")", "***", "###", "$$$", "'", "'s", "'s,", "'.", "漢", "\u0301", "7a", "_b", "²"]
+    text = " ".join(w + e for w in words for e in ends) + " (the) \n the\u00a0the.the,'the"
+    ref = tok.encode(text, add_special_tokens=False)
+    assert np.frombuffer(widen(enc.encode(text), enc.dtype), "<u4").tolist() == ref.ids
+    # The words, the ends, and those that can't be parted for sure: not every word with every end.
+    assert len(enc.young) < 0.6 * len(words) * len(ends)
+
+
 def ids_of(tok, text, end):
     return np.array([*tok.encode(text or "", add_special_tokens=False).ids, end], "<u4")
 

@@ -4,8 +4,9 @@ Byte-pair encoding never merges across a pre-token. A text is therefore cut at p
 sure to end, each distinct chunk is encoded once by the library and kept in a bounded memo, and the chunks'
 ids are joined. The result is the library's result for the whole text:
 
-* byte-level BPE: chunks are "white space, then non-white space" (``\\s*\\S+``), the pre-tokenizer's own
-  boundaries lie inside or at the ends of these;
+* byte-level BPE: chunks are white space and then a run of plain letters, digits or signs, where the next character
+  surely starts a pre-token; else "white space, then non-white space" (``\\s*\\S+``). The pre-tokenizer's own
+  boundaries lie inside or at the ends of these. So a word is one chunk, whatever signs follow it;
 * BPE with word ends: white space is dropped, so chunks are the runs between ASCII white space. NFC and the
   per-character lower-casing never look across white space. A-Z are lower-cased beforehand, so that a chunk is kept
   once; not in texts with combining marks, where composition may depend on the letter's case.
@@ -36,10 +37,17 @@ _MARKS = re.compile("[\u0300-\u036f]")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: The pre-tokens of plain chunks: Latin letters, ASCII digits and ASCII signs but the apostrophe (contractions).
 _SIGNS = r"!-&(-/:-@\[-`{-~"
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _PARTS = {
-    False: re.compile(rf" ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[{_SIGNS}]+"),
+    False: re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[{_SIGNS}]+"),
     True: re.compile(rf"[a-zß-öø-ÿ]+|[0-9]|[{_SIGNS}]+"),
 }
+#: A plain chunk that is one pre-token.
+_ONE = {False: re.compile(rf" ?[{_LETTERS}]+| ?[{_SIGNS}]+"), True: re.compile("[a-zß-öø-ÿ]+")}
+#: Byte-level chunks. An apostrophe after a sign belongs to the same pre-token, after a letter or digit it starts one.
+FINE_CHUNKS = re.compile(
+    rf"\s*+(?:[{_LETTERS}]++(?![^\s0-9'{_SIGNS}])|[{_SIGNS}]++(?![^\s0-9{_LETTERS}])|[0-9]++(?![^\s'{_SIGNS}{_LETTERS}]))|\s*\S+|\s+"
+)
 #: Byte-level models write a byte as a character: printable ones as themselves, the others from 256 on.
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTED)}
@@ -110,10 +118,12 @@ class PlainModel:
         model = BPE(own_vocab | {marks[0]: top + 1, marks[1]: top + 2}, [(own(a), own(b)) for a, b in pairs])
         return PlainModel(model, marks, (top + 1, top + 2), True)
 
-    def ids(self, chunks: Sequence[str], dtype: str) -> Iterator[bytes]:
+    def ids(self, chunks: Sequence[str], dtype: str) -> list[bytes]:
         """The ids of each chunk, in which the pre-tokens are parted by marks."""
+        out = []
         for i in range(0, len(chunks), CALL_CHUNKS):
-            yield from self._call(chunks[i : i + CALL_CHUNKS], dtype)
+            out += self._call(chunks[i : i + CALL_CHUNKS], dtype)
+        return out
 
     def _call(self, chunks: Sequence[str], dtype: str) -> list[bytes]:
         read = np.frombuffer(chr(_MARK).join(chunks).encode("utf-8"), np.uint8)
@@ -138,12 +148,13 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         word_ends = getattr(self.tok.model, "end_of_word_suffix", None)
-        self.chunks = WORD_CHUNKS if word_ends else BYTE_CHUNKS
+        self.chunks = WORD_CHUNKS if word_ends else BYTE_CHUNKS  # of ``spans``
+        self.fine = WORD_CHUNKS if word_ends else FINE_CHUNKS
         self.lower = bool(word_ends)  # such a vocabulary's normaliser lower-cases
         #: The narrowest type that holds every id of the vocabulary.
         self.dtype = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
         self.code = "H" if self.dtype == "<u2" else "I"
-        self.parts = _PARTS[self.lower]
+        self.one, self.parts = _ONE[self.lower], _PARTS[self.lower]
         self.plain = PlainModel.of(self.tok, word_ends)
         self.young: dict[str, bytes] = {}  # chunk → ids, in two generations as in ``Memo``
         self.old: dict[str, bytes] = {}
@@ -156,16 +167,18 @@ class Encoder:
         made = self.tok.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.code, e.ids).tobytes() for e in made]
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Put the chunks' ids into the young generation."""
-        plain, parted, odd = [], [], []
-        findall, old = self.parts.findall, self.old
-        for c in chunks.difference(self.young):
-            if c in old:
-                self.young[c] = old[c]
-            elif self.plain is None or len(c) > LONGEST_KEPT:
+    def _learn(self, chunks: set[str]) -> list[str]:
+        """Put the chunks' ids into the young generation; those too long to be kept are returned."""
+        plain, parted, odd, long = [], [], [], []
+        one, findall, old, young = self.one.fullmatch, self.parts.findall, self.old.get, self.young
+        for c in chunks.difference(young):
+            if ids := old(c):
+                young[c] = ids
+            elif len(c) > LONGEST_KEPT:
+                long.append(c)
+            elif self.plain is None:
                 odd.append(c)
-            elif c.isascii() and c[1:].isalpha() and (c[0] == " " or c[0].isalpha()) and not (self.lower and c != c.lower()):
+            elif one(c):
                 plain.append(c)
                 parted.append(c)
             else:
@@ -177,8 +190,9 @@ class Encoder:
                     odd.append(c)
         if plain:
             self.young.update(zip(plain, self.plain.ids(parted, self.dtype)))
-        if odd:
+        if odd := odd + long:
             self.young.update(zip(odd, self._all_ids(odd)))
+        return long
 
     def _starts(self, chunk: str) -> bytes:
         spans = self.tok.encode(chunk, add_special_tokens=False).offsets
@@ -200,14 +214,13 @@ class Encoder:
         yield from self._block(block)
 
     def _block(self, texts: list[str]) -> list[bytes]:
-        found = [None if _ODD_SPACE.search(t) else self.chunks.findall(self._lowered(t)) for t in texts]
+        found = [None if _ODD_SPACE.search(t) else self.fine.findall(self._lowered(t)) for t in texts]
         chunks = set().union(*filter(None, found))
-        self._learn(chunks)
-        known = self.young.__getitem__
-        out = [self._ids(t) if f is None else b"".join(map(known, f)) for t, f in zip(texts, found)]
-        for c in chunks:
-            if len(c) > LONGEST_KEPT:
-                del self.young[c]
+        long = self._learn(chunks)
+        known = self.young
+        out = [self._ids(t) if f is None else b"".join([known[c] for c in f]) for t, f in zip(texts, found)]
+        for c in long:
+            del self.young[c]
         if len(self.young) >= MEMO_ENTRIES:
             self.old, self.young = self.young, {}
         return out
