@@ -7,6 +7,7 @@ import pytest
 
 import corpus_pipeline
 from tests.llm.helpers import words
+from trolley.llm import near_dedup
 
 ONE_PARTITION = {"spark.sql.files.minPartitionNum": "1", "spark.sql.files.openCostInBytes": "0"}
 
@@ -55,3 +56,35 @@ def test_mix_takes_the_same_rows(spark, docs):
     out = corpus_pipeline.mix(spark, docs, "")
     with other_splits(spark):
         assert ids(out) == want
+
+
+def test_numbered_rows_are_the_wanted_ones(spark):
+    numbers = [0, 1, 62, 63, 64, 65, 127, 128, 1 << 33, (1 << 33) + 63, (5 << 33) + 64]
+    rows = spark.createDataFrame([(n, f"t{n}", None, i) for i, n in enumerate(numbers)], "row long, text string, word string, at int")
+    for part in ([], numbers, numbers[::2], numbers[1::2], [63, 63, 2, 66, None, 1 << 34]):
+        wanted = spark.createDataFrame([(n,) for n in part], "rep long")
+        got = near_dedup._numbered(rows, "row", wanted)
+        assert got.columns == rows.columns
+        assert sorted(r["row"] for r in got.collect()) == [n for n in numbers if n in part]
+
+
+def test_texts_of_numbered_rows_are_not_shuffled(spark, docs, monkeypatch):
+    """Neither for the sets of the likely pairs nor for the rows that stay, however small Spark's own broadcasts are."""
+    plans, store = {}, near_dedup.store
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, name)
+
+    monkeypatch.setattr(near_dedup, "store", noted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = near_dedup.first_documents(docs)
+        plans["out"] = out._jdf.queryExecution().executedPlan().toString()
+        assert ids(out) == list(range(60))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for name in ("dedup-sets", "out"):
+        joined = [x for x in plans[name].splitlines() if "Join" in x and "text" in x or "Exchange" in x and "text" in x]
+        scan = [x for x in plans[name].splitlines() if "Scan parquet" in x and "text" in x]
+        assert scan and not joined and "BroadcastHashJoin" in plans[name].split("Scan parquet")[0]

@@ -115,6 +115,28 @@ def _signatures(docs: DataFrame, row: str | None = None) -> DataFrame:
     return store(rows.mapInArrow(run, _STAGE), "dedup-signatures")
 
 
+def _numbered(rows: DataFrame, row: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose stored number is in ``wanted`` (one column). Every task gets a bit a row, so that no text is shuffled."""
+    word, bits = free_names(rows, "word", "bits")
+    n = F.col(wanted.columns[0])
+    bit = F.expr("shiftleft(1L, cast(at as int))")
+    words = wanted.select(F.shiftright(n, 6).alias(word), n.bitwiseAND(63).alias("at")).groupBy(word).agg(F.bit_or(bit).alias(bits))
+    found = rows.withColumn(word, F.shiftright(row, 6)).join(F.broadcast(words), word)
+    return found.where(F.getbit(bits, F.col(row).bitwiseAND(63).cast("int")) == 1).select(*rows.columns)
+
+
+def _numbered_sets(docs: DataFrame, wanted: DataFrame, row: str) -> DataFrame:
+    """``_sets`` of rows with stored numbers: a representative is the number of its row."""
+
+    def run(batches):
+        for b in batches:
+            made = [shingles(t or "").view(np.int64) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.list_(pa.int64()))], names=["rep", "set"])
+
+    texts = docs.select(F.col(row).alias("rep"), F.col("text").cast("string").alias("text"))
+    return store(_numbered(texts, "rep", wanted.select("rep")).mapInArrow(run, "rep long, set array<long>"), "dedup-sets")
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(rep, set) of the wanted representatives (rep, did, s1, s2), from their texts."""
 
@@ -331,8 +353,8 @@ def merge(label: DataFrame, links: DataFrame) -> DataFrame:
     return store(j.select("v", F.coalesce("r", "root").alias("root")), "dedup-label")
 
 
-def near_links(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(v, root) of the linked representatives."""
+def near_links(docs: DataFrame, reps: DataFrame, row: str | None = None) -> DataFrame:
+    """(v, root) of the linked representatives; ``row`` as in ``near_dedup``."""
     found, dense = _branch(reps)
     if dense is not None:
         found.append(_star(dense, reps))
@@ -343,7 +365,7 @@ def near_links(docs: DataFrame, reps: DataFrame) -> DataFrame:
     wanted = likely.select(F.col("a").alias("rep")).union(likely.select("b"))
     if dense is not None:
         wanted = wanted.union(dense.select("rep"))
-    sets = _sets(docs, reps.join(wanted.distinct(), "rep", "left_semi"))
+    sets = _numbered_sets(docs, wanted, row) if row else _sets(docs, reps.join(wanted.distinct(), "rep", "left_semi"))
     label = components(_confirm(likely, sets))
     if dense is None:
         return label
@@ -356,8 +378,8 @@ def near_links(docs: DataFrame, reps: DataFrame) -> DataFrame:
 def near_dedup(docs: DataFrame, row: str | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, row, first): see the module text.
 
-    ``row`` numbers the input's rows, by the column of that name if one is given; ``first`` is true for one row of
-    each component.
+    ``row`` numbers the input's rows, by the column of that name if one is given (stored with the rows: different, not
+    null, the same in every scan); ``first`` is true for one row of each component.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -369,7 +391,7 @@ def near_dedup(docs: DataFrame, row: str | None = None) -> DataFrame:
              F.min(F.struct("doc_id", "row")).alias("head")),
         "dedup-reps",
     )
-    label = near_links(docs, reps)
+    label = near_links(docs, reps, row)
     rooted = reps.select("n", "s1", "s2", "rep", "head").join(label.withColumnRenamed("v", "rep"), "rep", "left")
     rooted = store(rooted.withColumn("root", F.coalesce("root", "rep")), "dedup-rooted")
     heads = rooted.groupBy("root").agg(F.min("head").alias("h"))
@@ -393,5 +415,4 @@ def first_documents(docs: DataFrame) -> DataFrame:
     """
     (number,) = free_names(docs, "row")
     rows = store(docs.withColumn(number, F.monotonically_increasing_id()), "dedup-input")
-    keep = near_dedup(rows, number).where("first").select(F.col("row").alias(number))
-    return rows.join(keep, number, "left_semi").select(*docs.columns)
+    return _numbered(rows, number, near_dedup(rows, number).where("first").select("row")).select(*docs.columns)
