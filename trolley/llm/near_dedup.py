@@ -1,7 +1,8 @@
 """Near-duplicate classes by a chosen-path similarity join over word shingles.
 
 1. *Sets.* A text's words (A-Z lower-cased) give its distinct 3-word shingles, as 64-bit hashes. Equal sets are found
-   by a 128-bit signature and collapsed to one *representative*; from here on only different sets are compared.
+   by a 128-bit signature and collapsed to one *representative*; from here on only different sets are compared. Rows with
+   stored numbers are found again by a scan with a bit a row, others by a join on their doc_id.
 2. *Trees.* ``TREES`` independent trees branch the representatives: at each level a set goes to the child named by its
    minwise token of that tree and level, so two sets of similarity s stay together with probability s a level. Nodes
    of one member end; nodes of up to ``SMALL`` members are compared exhaustively; larger nodes branch on, up to
