@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import uuid
 import zipfile
+from collections.abc import Iterable, Iterator
+from contextlib import AbstractContextManager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.session import ensure_checkpoint_dir
+from trolley.session import ensure_checkpoint_dir, settings
 
 #: A word: a run of characters other than space and the ASCII controls tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Rows of a batch that are Python objects at a time; a whole batch of texts takes several times its size as such.
+SLICE_ROWS = 512
+
+#: What a worker process keeps for the next tasks of a stage (``tokens.encoder``), until one of another stage begins.
+KEPT: dict = {}
+
 _SHIPPED: set[str] = set()
 
 
@@ -52,6 +62,36 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> AbstractContextManager:
+    """While stages are stored whose tasks hand texts or sets to Python: batches have few rows, on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    return settings(spark, {key: str(min(now, 2 * SLICE_ROWS) if now > 0 else 2 * SLICE_ROWS)})
+
+
+def slices(batches: Iterable[pa.RecordBatch], keep: bool = False) -> Iterator[pa.RecordBatch]:
+    """All rows of a task's batches, ``SLICE_ROWS`` at a time.
+
+    Workers are reused: what tasks of other stages left in ``KEPT`` goes first (unless ``keep``), and unused memory is
+    given back at the end, so that a worker's size is that of its stage and not of all stages before.
+    """
+    if KEPT and not keep:
+        KEPT.clear()
+        give_back()
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE_ROWS):
+            yield b.slice(at, SLICE_ROWS)
+    give_back()
+
+
+def give_back() -> None:
+    """Return the process's free memory to the system, where the allocators can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -128,7 +168,6 @@ def one_blas_thread() -> None:
     Its thread pool does not survive the fork that starts the JVM: a later threaded call on the driver waits
     for ever. The fits on the driver are small, one thread is enough. Other BLAS builds are left alone.
     """
-    import ctypes
     import glob
 
     import numpy as np

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import free_names, ship_package, store
+from trolley.llm.common import free_names, ship_package, slices, small_batches, store
 from trolley.llm.quality_model import _words as word_hashes
 
 WIDTH = 3
@@ -45,6 +45,7 @@ PIVOTS = 3  # besides the consensus member
 SAMPLE = 64  # members that make a node's consensus
 BLOCK = 2048
 TILE = 256  # members a side whose sets are compared at a time inside a block task
+COLUMNS = 1 << 14  # shingles whose incidence in a tile's sets is in memory at a time
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -93,7 +94,7 @@ _STAGE = "doc_id long, row long, n long, s1 long, s2 long, tokens array<int>"
 
 def _signatures(docs: DataFrame, row: str | None = None) -> DataFrame:
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             n, s1, s2, tk = [], [], [], []
             for t in b.column(2).to_pylist():
                 s = shingles(t or "")
@@ -113,7 +114,8 @@ def _signatures(docs: DataFrame, row: str | None = None) -> DataFrame:
         (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
         F.col("text").cast("string").alias("text"),
     )
-    return store(rows.mapInArrow(run, _STAGE), "dedup-signatures")
+    with small_batches(docs.sparkSession):
+        return store(rows.mapInArrow(run, _STAGE), "dedup-signatures")
 
 
 def _numbered(rows: DataFrame, row: str, wanted: DataFrame) -> DataFrame:
@@ -130,19 +132,21 @@ def _numbered_sets(docs: DataFrame, wanted: DataFrame, row: str) -> DataFrame:
     """``_sets`` of rows with stored numbers: a representative is the number of its row."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             made = [shingles(t or "").view(np.int64) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.list_(pa.int64()))], names=["rep", "set"])
 
     texts = docs.select(F.col(row).alias("rep"), F.col("text").cast("string").alias("text"))
-    return store(_numbered(texts, "rep", wanted.select("rep")).mapInArrow(run, "rep long, set array<long>"), "dedup-sets")
+    made = _numbered(texts, "rep", wanted.select("rep")).mapInArrow(run, "rep long, set array<long>")
+    with small_batches(docs.sparkSession):
+        return store(made, "dedup-sets")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(rep, set) of the wanted representatives (rep, did, s1, s2), from their texts."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             made = [shingles(t or "") for t in b.column(1).to_pylist()]
             sig = [signature(s) for s in made]
             yield pa.RecordBatch.from_arrays(
@@ -156,7 +160,8 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     made = texts.mapInArrow(run, "did long, s1 long, s2 long, set array<long>")
     # A doc_id may occur on several rows: one of the equal sets is enough.
     one = made.join(wanted.select("rep", "did", "s1", "s2"), ["did", "s1", "s2"]).groupBy("rep")
-    return store(one.agg(F.first("set").alias("set")), "dedup-sets")
+    with small_batches(docs.sparkSession):
+        return store(one.agg(F.first("set").alias("set")), "dedup-sets")
 
 
 def _likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -260,13 +265,22 @@ def _open_nodes(members: DataFrame) -> DataFrame:
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Intersection sizes of every left with every right set, as a product of incidence matrices."""
-    both = [*left, *right]
-    _, at = np.unique(np.concatenate(both), return_inverse=True)
-    rows = np.repeat(np.arange(len(both)), [len(x) for x in both])
-    m = np.zeros((len(both), int(at.max()) + 1), np.float32)
-    m[rows, at] = 1
-    return np.rint(m[: len(left)] @ m[len(left) :].T).astype(np.int64)
+    """Intersection sizes of every left with every right set, as products of incidence matrices of COLUMNS shared shingles."""
+    shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    places = []
+    for sets in (left, right):
+        rows, every = np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.concatenate(sets)
+        found = np.isin(every, shared)
+        places.append((rows[found], np.searchsorted(shared, every[found])))
+    out = np.zeros((len(left), len(right)), np.int64)
+    for first in range(0, len(shared), COLUMNS):
+        some = []
+        for sets, (rows, at) in zip((left, right), places):
+            here = (at >= first) & (at < first + COLUMNS)
+            some.append(np.zeros((len(sets), min(COLUMNS, len(shared) - first)), np.float32))
+            some[-1][rows[here], at[here] - first] = 1
+        out += np.rint(some[0] @ some[1].T).astype(np.int64)
+    return out
 
 
 def _block_links(members: DataFrame, dense: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
@@ -316,6 +330,8 @@ def _block_links(members: DataFrame, dense: DataFrame, reps: DataFrame, sets: Da
                 ok &= agree >= MIN_AGREE
                 if not ok.any():
                     continue
+                left, right = ok.any(axis=1), ok.any(axis=0)
+                i, j, ok = i[left], j[right], ok[left][:, right]
                 both = _overlaps([own[v] for v in i], [own[v] for v in j])
                 ok &= 100 * both >= PERCENT * (n[i][:, None] + n[j] - both)
                 for p, q in np.argwhere(ok).tolist():
@@ -373,7 +389,9 @@ def near_links(docs: DataFrame, reps: DataFrame, row: str | None = None) -> Data
     left = store(_open_nodes(_with_class(dense.select("node", "rep"), label)), "dedup-open")
     if not left.limit(1).count():
         return label
-    return merge(label, store(_block_links(left, dense, reps, sets), "dedup-blocks"))
+    with small_batches(docs.sparkSession):
+        links = store(_block_links(left, dense, reps, sets), "dedup-blocks")
+    return merge(label, links)
 
 
 def near_dedup(docs: DataFrame, row: str | None = None) -> DataFrame:

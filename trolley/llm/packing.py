@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trolley.llm.common import one_blas_thread, ship_package, store
+from trolley.llm.common import one_blas_thread, ship_package, slices, small_batches, store
 from trolley.llm.tokens import encoder, widen
 
 CAP = 1024
@@ -241,7 +241,7 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int, cap: int, keep_ids: b
 
     def run(batches):
         shard, fulls, ranks = TaskContext.get().partitionId(), 0, [0] * cap
-        for b in batches:
+        for b in slices(batches, keep=True):
             enc = encoder(tokenizer)
             end, size = enc.pack(end_id), np.dtype(enc.dtype).itemsize
             cols = {f: [] for f in ("n", "before", "crc", "len", "rank", "rem", "ids")}
@@ -269,7 +269,8 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int, cap: int, keep_ids: b
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return store(rows.mapInArrow(run, STAGE_SCHEMA), "pack-tokens")
+    with small_batches(docs.sparkSession):
+        return store(rows.mapInArrow(run, STAGE_SCHEMA), "pack-tokens")
 
 
 def pack(
@@ -294,7 +295,7 @@ def pack(
 
     def pieces(batches):
         dtype = encoder(tokenizer).dtype
-        for b in batches:
+        for b in slices(batches, keep=True):
             out = [[] for _ in range(8)]
             for r in b.to_pylist():
                 rows = [

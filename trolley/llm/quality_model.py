@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import held_out, label_counts, labelled, one_blas_thread, ship_package, store
+from trolley.llm.common import held_out, label_counts, labelled, one_blas_thread, ship_package, slices, small_batches, store
 
 THRESHOLD = 0.7  # fixed by the contract
 PER_CLASS = 2000  # labelled documents of each class that may be learnt from
@@ -150,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, per_class: int = PER_CLASS, label
     ship_package(docs.sparkSession)
 
     def features(batches):
-        for b in batches:
+        for b in slices(batches):
             made = [sparse(t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([m[0].tobytes() for m in made], pa.binary()),
@@ -159,10 +159,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, per_class: int = PER_CLASS, label
             )
 
     sample = labelled(docs, labels, label, per_class)
-    got = store(
-        sample.select("text", "y", "doc_id").mapInArrow(features, "idx binary, wt binary, y int, doc_id long"),
-        "quality-train",
-    )
+    made = sample.select("text", "y", "doc_id").mapInArrow(features, "idx binary, wt binary, y int, doc_id long")
+    with small_batches(docs.sparkSession):
+        got = store(made, "quality-train")
     rows = got.collect()  # at most 2 * per_class labelled documents
     rows.sort(key=lambda r: (r["doc_id"], r["y"], bytes(r["idx"])))
     one_blas_thread()
@@ -189,7 +188,7 @@ def quality(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     model = fit(docs, labels, **options)
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             s = _scores(model, b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s)], names=["doc_id", "score"])
 
@@ -205,7 +204,7 @@ def good_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     model = fit(docs, labels, **options)
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(b.schema.get_field_index("text")).to_pylist()
             yield b.filter(pa.array(_scores(model, texts) >= THRESHOLD))
 

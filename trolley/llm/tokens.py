@@ -31,6 +31,8 @@ from itertools import pairwise
 
 import numpy as np
 
+from trolley.llm.common import KEPT
+
 BYTE_CHUNKS = re.compile(r"\s*\S+|\s+")
 WORD_CHUNKS = re.compile(r"[^ \t-\r]+")
 _MARKS = re.compile("[\u0300-\u036f]")
@@ -248,14 +250,11 @@ class Encoder:
         return rel + np.repeat(at, n)[:, None]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The process's encoder for a vocabulary file (Python workers are reused, so the memo lives on)."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if path not in KEPT:
+        KEPT[path] = Encoder(path)
+    return KEPT[path]
 
 
 def widen(ids: bytes, dtype: str) -> bytes:

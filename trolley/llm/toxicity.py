@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import held_out, labelled, learnable, one_blas_thread, ship_package, store
+from trolley.llm.common import held_out, labelled, learnable, one_blas_thread, ship_package, slices, store
 from trolley.llm.tokens import Memo
 
 THRESHOLD = 0.3  # fixed by the contract
@@ -243,11 +243,12 @@ def toxic_contexts(texts: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             met: dict[tuple[str, int], list[int]] = {}
-            for t, apart in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for u, c in first_units(t).items():
-                    n = met.setdefault((u, zlib.crc32(c.encode("utf-8", "replace"))), [0, 0])
-                    n[0] += 1
-                    n[1] = n[1] or int(not apart)
+            for part in slices([b]):
+                for t, apart in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    for u, c in first_units(t).items():
+                        n = met.setdefault((u, zlib.crc32(c.encode("utf-8", "replace"))), [0, 0])
+                        n[0] += 1
+                        n[1] = n[1] or int(not apart)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([u for u, _ in met], pa.string()), pa.array([c for _, c in met], pa.int64()),
                  *(pa.array([n[i] for n in met.values()], pa.int64()) for i in (0, 1))],
@@ -276,8 +277,9 @@ def clean_texts(texts: DataFrame) -> DataFrame:
     def run(batches):
         memo, n = units_of(), Counter()
         for b in batches:
-            for t in b.column(0).to_pylist():
-                n.update({u for w in set(_WORD.findall(t.lower())) for u in memo[w]})
+            for part in slices([b]):
+                for t in part.column(0).to_pylist():
+                    n.update({u for w in set(_WORD.findall(t.lower())) for u in memo[w]})
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["unit", "n"]
             )
@@ -294,7 +296,7 @@ def unit_counts(docs: DataFrame, labels: DataFrame, known: frozenset[str]) -> tu
 
     def run(batches):
         memo = units_of(known)
-        for b in batches:
+        for b in slices(batches):
             ids, units = [], []
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 held = {u for w in set(_WORD.findall((t or "").lower())) for u in memo[w]}
@@ -397,7 +399,7 @@ def _kinds(df: DataFrame, lexicon: Lexicon, keep: str, schema: str, weights: np.
 
     def run(batches):
         memo = known_weights(lexicon)
-        for b in batches:
+        for b in slices(batches):
             rows = [document_kinds(t or "", lexicon, memo) for t in b.column(1).to_pylist()]
             counts = np.array(rows, float).reshape(-1, len(KINDS))
             cols = [b.column(0), *(pa.array(counts[:, i].copy()) for i in range(len(KINDS)))]
@@ -452,7 +454,7 @@ def clean_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
     def run(batches):
         memo = known_weights(lexicon)
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(b.schema.get_field_index("text")).to_pylist()
             counts = np.array([document_kinds(t or "", lexicon, memo) for t in texts], float)
             yield b.filter(pa.array(score_of(counts.reshape(-1, len(KINDS)), weights) < THRESHOLD))
