@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import ctypes
-import io
 import os
 import uuid
-import zipfile
 from collections.abc import Iterable, Iterator
 from contextlib import AbstractContextManager
 
@@ -14,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.session import ensure_checkpoint_dir, settings
+from trolley.session import ensure_checkpoint_dir, settings, ship_package  # noqa: F401 - the operators' way to it
 
 #: A word: a run of characters other than space and the ASCII controls tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,30 +23,6 @@ SLICE_ROWS = 512
 #: What a worker process keeps for the next tasks of a stage (``tokens.encoder``), until one of another stage begins.
 KEPT: dict = {}
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package (as ``--py-files`` does), once per application, by way of the shared folder."""
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    data = io.BytesIO()
-    with zipfile.ZipFile(data, "w") as z:
-        for folder, _, names in os.walk(root):
-            for n in sorted(names):
-                if n.endswith(".py"):
-                    full = os.path.join(folder, n)
-                    z.write(full, os.path.join("trolley", os.path.relpath(full, root)))
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{stage_path(spark, 'package')}/trolley.zip")
-    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
-    out.write(data.getvalue())
-    out.close()
-    spark.sparkContext.addPyFile(path.toString())
-    _SHIPPED.add(app)
-
-
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for one stage below the session's shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/trolley-llm/{name}-{uuid.uuid4().hex}"
