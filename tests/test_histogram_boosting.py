@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
-from trolley.operators import boosting, histogram_boosting, histograms, models
+from trolley.operators import boosting, histogram_boosting, histograms, models, tuning
 
 COLS = [f"c{i}" for i in range(5)]
 
@@ -86,6 +86,13 @@ def test_many_tasks_and_little_memory_give_the_same_trees(rows, monkeypatch):
     assert re.sub(NUMBER, "#", one) == re.sub(NUMBER, "#", two)
 
 
+def test_a_search_bins_its_rows_once(rows, monkeypatch):
+    made, binned = [], histogram_boosting.binned
+    monkeypatch.setattr(histogram_boosting, "binned", lambda *a: made.append(a) or binned(*a))
+    got = tuning.adaptive_search(rows.drop("isVal"), ["user_id"], trials=3, rounds=2, startup=2, batch=1)
+    assert len(got.trials) == 3 and len(made) == 1
+
+
 def test_long_runs_cut_their_lineage_and_leave_no_files(rows, tmp_path, spark):
     before = spark.sparkContext.getCheckpointDir()
     spark.sparkContext.setCheckpointDir(str(tmp_path))
@@ -96,6 +103,15 @@ def test_long_runs_cut_their_lineage_and_leave_no_files(rows, tmp_path, spark):
         spark.sparkContext.setCheckpointDir(before)
 
 
+def test_the_first_of_equal_splits_is_taken(spark):
+    rng = np.random.default_rng(6)
+    made = [(float(v), -2.0 * float(v), int(v + rng.normal() > 9)) for v in rng.integers(0, 20, 900)]
+    df = models.assemble(spark.createDataFrame(made, "a double, b double, reordered int"), ["a", "b"])
+    for parts in (1, 4):
+        m = models.gbt(maxIter=4, maxDepth=3, seed=1).fit(df.repartition(parts))
+        assert "feature 0" in m.toDebugString and "feature 1" not in m.toDebugString
+
+
 def test_bad_rows_are_refused(spark):
     df = models.assemble(spark.createDataFrame([(1.0, 0), (float("nan"), 1)], "x double, reordered int"), ["x"], handle_invalid="keep")
     with pytest.raises(Exception, match="NaN or infinity"):
